@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .htmltext import op9_html_extraction
 from .mpegts import op1_mpeg_transport_streams
 from .simhash import op3_simhash_near_dedup
+from .toxicity import op4_toxicity
 
 QUERIES = {
     "op1_mpeg_transport_streams": op1_mpeg_transport_streams,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op9_html_extraction": op9_html_extraction,
 }
 
 ORACLES: dict[str, str] = {}
