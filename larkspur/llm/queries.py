@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .htmltext import op9_html_extraction
+from .linededup import op10_line_dedup
 from .mpegts import op1_mpeg_transport_streams
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op9_html_extraction": op9_html_extraction,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES: dict[str, str] = {}
