@@ -6,6 +6,7 @@ from .htmltext import op9_html_extraction
 from .linededup import op10_line_dedup
 from .mpegts import op1_mpeg_transport_streams
 from .packing import op5_best_fit_packing
+from .pii import op6_pii
 from .simhash import op3_simhash_near_dedup
 from .toxicity import op4_toxicity
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_pii": op6_pii,
     "op9_html_extraction": op9_html_extraction,
     "op10_line_dedup": op10_line_dedup,
 }
