@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .arc import op2_warc
 from .htmltext import op9_html_extraction
 from .linededup import op10_line_dedup
 from .mpegts import op1_mpeg_transport_streams
@@ -12,6 +13,7 @@ from .toxicity import op4_toxicity
 
 QUERIES = {
     "op1_mpeg_transport_streams": op1_mpeg_transport_streams,
+    "op2_warc": op2_warc,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
