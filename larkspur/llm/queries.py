@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op7_nearest_neighbours
 from .arc import op2_warc
 from .htmltext import op9_html_extraction
 from .linededup import op10_line_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op9_html_extraction": op9_html_extraction,
     "op10_line_dedup": op10_line_dedup,
 }
