@@ -1,56 +1,20 @@
-"""Shared plumbing of the training-data operators: bounded Arrow batches, written tables, column checks."""
+"""Shared plumbing of the training-data operators: bounded Arrow batches and column checks."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..tables import discard, shared_dir, written  # noqa: F401
+
 #: Rows and bytes that one Arrow batch holds at most, so that a Python worker's memory does not follow the partition size.
 BATCH_ROWS = 1024
 BATCH_BYTES = 16 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where none is set (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = known.get() if known.isDefined() else None
-    if not at:
-        at = tempfile.mkdtemp(prefix="larkspur-")
-        atexit.register(shutil.rmtree, at, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: the lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/larkspur/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._larkspur_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Deletes a table that written() made and nothing reads any more."""
-    spark, path = df.sparkSession, getattr(df, "_larkspur_path", None)
-    if path:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

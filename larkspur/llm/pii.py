@@ -177,6 +177,42 @@ def sanitise(docs: DataFrame) -> DataFrame:
     return rows.join(extra, "row", "left").select("key.doc_id", F.col("key.text").alias("text_hash"), F.col("spans").alias("base"), every.alias("spans"))
 
 
+#: What stands for a span in a sanitised text.
+INSTEAD = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
+
+
+def redacted(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
+    """The text with each span replaced; where spans overlap, the first by start covers them all."""
+    if not text or not spans:
+        return text
+    out, done = [], 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if start >= done:
+            out += [text[done:start], INSTEAD[kind]]
+        done = max(done, end)
+    return "".join([*out, text[done:]])
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text and any other columns) with the spans of sanitise() replaced in text. Every row stays; null and empty texts as they are."""
+    found = sanitise(docs.select("doc_id", "text")).where("size(spans) > 0 and doc_id is not null").select("doc_id", F.col("text_hash").alias("_larkspur_hash"), F.col("spans").alias("_larkspur_spans")).dropDuplicates(["doc_id", "_larkspur_hash"])
+    joined = docs.withColumn("_larkspur_hash", F.xxhash64("text")).join(found, ["doc_id", "_larkspur_hash"], "left").select(*docs.columns, "_larkspur_spans")
+    text = docs.columns.index("text")
+
+    def make() -> Callable:
+        def work(batch) -> Iterator[list]:
+            spans = batch.column(len(docs_columns)).to_pylist()
+            columns = batch.columns[:-1]
+            columns[text] = [redacted(t, [(x["kind"], x["start"], x["end"]) for x in s or ()]) for t, s in zip(batch.column(text).to_pylist(), spans, strict=True)]
+            yield columns
+
+        return work
+
+    docs_columns = list(docs.columns)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_rows(joined, make, kinds)
+
+
 def _joined(spans: str) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 

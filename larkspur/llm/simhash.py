@@ -15,8 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import map_rows, need, written
-from .graph import components
 
 WORDS_AT_ONCE = 1 << 16
 #: Rows of a bucket up to which its pairs are compared directly; larger buckets go the linear way of _by_balls.
