@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .ann import op7_nearest_neighbours
 from .arc import op2_warc
+from .bpe import op8_byte_level_bpe
 from .htmltext import op9_html_extraction
 from .linededup import op10_line_dedup
 from .mpegts import op1_mpeg_transport_streams
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_byte_level_bpe": op8_byte_level_bpe,
     "op9_html_extraction": op9_html_extraction,
     "op10_line_dedup": op10_line_dedup,
 }
