@@ -23,7 +23,7 @@ from .common import map_rows, need, written
 CAPACITY = 2048
 MANY = 12  # configurations from one dynamic program at most
 SHARE, ETA = 0.25, 1.0  # of a length's count that one round covers at most; how fast its weight falls with that
-SALTS = 64  # parts into which the pieces of one length are ranked
+PART = 100_000  # pieces of one length, on average, that are ranked in one part; there are 64 parts at least
 END_ID = 0
 TOKENIZER = "byte_bpe_50k"
 
@@ -169,7 +169,7 @@ def _runs(configurations: list[tuple[dict[int, int], int]]) -> list[tuple[int, i
     return out
 
 
-def _ranked(found: DataFrame, salts: int = SALTS) -> DataFrame:
+def _ranked(found: DataFrame, salts: int) -> DataFrame:
     """Pieces with their rank, from 0, among those of their length. A length that many pieces share is ranked in `salts` parts, each after the parts before it."""
     from pyspark.sql import Window as W
 
@@ -212,7 +212,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return work
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema)
-    return map_rows(_ranked(found).select(*found.columns, "rank"), make, f"{kinds}, sequence_id long, offset long")
+    salts = max(64, max(histogram.values(), default=0) // PART)
+    return map_rows(_ranked(found, salts).select(*found.columns, "rank"), make, f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, need, written
 
 SAMPLE = 8_000  # labelled texts to learn from at most, those of smallest hashed id
-FEATURES = 2_048  # features to keep at most, those of largest |z|
+FEATURES = 1_024  # features to keep at most, those of largest |z|
 LEAST_TEXTS, LEAST_Z = 5, 4.0
 SWAPS = 3  # counterfactuals of a text at most
 PENALTY, RIDGE, LASSO, STEPS = 4.0, 1e-4, 2e-4, 300
@@ -88,44 +88,55 @@ class Model:
         return 1 / (1 + exp(-max(-500.0, min(500.0, self.logit(words_of(text))))))
 
 
-def fit(texts: list[tuple[int, list[str]]], pairs: list[tuple[list[str], list[str]]], vocabulary: list[str], penalty: float = PENALTY) -> Model:
-    """(label, features) and (features, features after a swap) to a model, by proximal gradient steps of one length.
+def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray]], vocabulary: list[str], penalty: float = PENALTY) -> Model:
+    """Labels and texts, and texts beside what a swap makes of them, all as places in the vocabulary, to a model, by proximal gradient steps of one length.
 
     Without both labels the score is a constant: the smoothed share of label 1.
     """
-    y = np.array([t for t, _ in texts], float)
+    y = np.asarray(labels, np.float32)
     if not len(y) or y.min() == y.max():
-        share = (y.sum() + 0.1) / (len(y) + 1.0)
+        share = (float(y.sum()) + 0.1) / (len(y) + 1.0)
         return Model(log(share / (1 - share)), {})
-    at = {f: k for k, f in enumerate(vocabulary)}
 
-    def matrix(rows: list[list[str]]) -> np.ndarray:
-        m = np.zeros((len(rows), len(at)), np.float32)
-        for i, fs in enumerate(rows):
-            m[i, [at[f] for f in fs if f in at]] = 1
+    def matrix(rows: list[np.ndarray]) -> np.ndarray:
+        m = np.zeros((len(rows), len(vocabulary)), np.float32)
+        for i, at in enumerate(rows):
+            m[i, at] = 1
         return m
 
-    x, d = matrix([fs for _, fs in texts]), matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs])
-    d = d[np.abs(d).sum(axis=1) > 0]
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # both labels count alike
-    w, b, v, c, k = np.zeros(len(at), np.float32), 0.0, np.zeros(len(at), np.float32), 0.0, 1.0
-    rows = np.sqrt(weight / 4)[:, None] * np.hstack([x, np.ones((len(y), 1), np.float32)])
-    u = np.ones(rows.shape[1])
-    for _ in range(30):  # the largest curvature, by power iteration
-        u = rows.T @ (rows @ u)
-        size = np.linalg.norm(u)
-        u /= size
-    curve = size + RIDGE + (2 * penalty / len(d) * np.linalg.norm(d, 2) ** 2 if len(d) else 0)
-    step = 1 / curve
+    pairs = [(a, b) for a, b in pairs if not np.array_equal(a, b)]
+    x, d = matrix(texts), matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs])
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())).astype(np.float32)  # both labels count alike
+    pull = np.float32(2 * penalty / len(d)) if len(d) else np.float32(0)
+
+    def curvature(of: Callable, n: int) -> float:
+        """The largest eigenvalue, by power iteration."""
+        u, size = np.ones(n, np.float32), 0.0
+        for _ in range(30):
+            u = of(u)
+            size = float(np.linalg.norm(u))
+            if not size:
+                break
+            u /= size
+        return size
+
+    def quadratic(u: np.ndarray) -> np.ndarray:
+        r = weight / 4 * (x @ u[:-1] + u[-1])
+        return np.append(x.T @ r, r.sum())
+
+    step = np.float32(1 / (1.05 * (curvature(quadratic, len(vocabulary) + 1) + (curvature(lambda u: pull * (d.T @ (d @ u)), len(vocabulary)) if len(d) else 0)) + RIDGE))
+    w, b, v, c, k = np.zeros(len(vocabulary), np.float32), 0.0, np.zeros(len(vocabulary), np.float32), 0.0, 1.0
     for _ in range(STEPS):
-        r = weight * (1 / (1 + np.exp(-np.clip(x @ v + c, -50, 50))) - y)
-        g = x.T @ r + RIDGE * v + (2 * penalty / len(d) * (d.T @ (d @ v)) if len(d) else 0)
-        w2, b2 = v - step * g, c - step * r.sum()
-        w2 = np.sign(w2) * np.maximum(np.abs(w2) - step * LASSO, 0)
-        k2 = (1 + np.sqrt(1 + 4 * k * k)) / 2
-        v, c = w2 + (k - 1) / k2 * (w2 - w), b2 + (k - 1) / k2 * (b2 - b)
-        w, b, k = w2.astype(np.float32), b2, k2
-    return Model(float(b), {f: float(w[j]) for f, j in at.items() if w[j]})
+        r = weight * (1 / (1 + np.exp(-np.clip(x @ v + np.float32(c), -50, 50))) - y)
+        g = x.T @ r + np.float32(RIDGE) * v
+        if len(d):
+            g += pull * (d.T @ (d @ v))
+        w2, b2 = v - step * g, c - float(step) * float(r.sum())
+        w2 = np.sign(w2) * np.maximum(np.abs(w2) - step * np.float32(LASSO), 0)
+        k2 = (1 + (1 + 4 * k * k) ** 0.5) / 2
+        v, c = w2 + np.float32((k - 1) / k2) * (w2 - w), b2 + (k - 1) / k2 * (b2 - b)
+        w, b, k = w2, b2, k2
+    return Model(float(b), {f: float(z) for f, z in zip(vocabulary, w, strict=True) if z})
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Model:
@@ -155,17 +166,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: flo
     vocabulary = sorted({r["f"] for r in kept.select("f").collect()} | {r["f"] for r in counts.where(F.col("f").isin(sorted(names))).select("f").collect()})
 
     def cut() -> Callable:
-        known = set(vocabulary)
+        at = {f: k for k, f in enumerate(vocabulary)}
 
         def work(batch) -> Iterator[list]:
             rows = batch.to_pylist()
-            yield [batch.column(0), batch.column(1), [[f for f in r["has"] if f in known] for r in rows], [[[f for f in s if f in known] for s in r["swapped"]] for r in rows]]
+            yield [batch.column(0), batch.column(1), [[at[f] for f in r["has"] if f in at] for r in rows], [[[at[f] for f in s if f in at] for s in r["swapped"]] for r in rows]]
 
         return work
 
-    rows = map_rows(seen, cut, "doc_id long, toxic int, has array<string>, swapped array<array<string>>").collect()  # `sample` rows of FEATURES names at most
-    rows.sort(key=lambda r: r["doc_id"])
-    return fit([(r["toxic"], r["has"]) for r in rows], [(r["has"], s) for r in rows for s in r["swapped"]], vocabulary, penalty)
+    rows = map_rows(seen, cut, "doc_id long, toxic int, has array<int>, swapped array<array<int>>").toArrow().sort_by("doc_id")  # `sample` rows of FEATURES places at most
+    has = [np.asarray(x.values) for x in rows.column("has")]
+    pairs = [(has[i], np.asarray(s, np.int32)) for i, x in enumerate(rows.column("swapped")) for s in x.as_py()]
+    return fit(rows.column("toxic").to_numpy(), has, pairs, vocabulary, penalty)
 
 
 def held_out() -> F.Column:
