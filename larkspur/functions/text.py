@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 SUPPORT = (r"-(dev|dbg|dbgsym|docs?)\z", r"^lib[\w.+-]*\d\z", r"^(ttf|fonts|otf)-")
 #: Weights of a match of two packages.
 WEIGHT_NAME, WEIGHT_APP_ID, WEIGHT_ICON = 0.5, 0.35, 0.15
-_SPACE = r"[\s\x0B   -     　﻿]+"
+_SPACE = r"[\s\x0B\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"  # JavaScript's white space
 
 
 def _c(x: Column | str) -> Column:
