@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, need
 
 VOCABULARY = "byte_bpe_50k"
-CACHE = 400_000
+CACHE = 600_000
 #: The characters of Unicode's White_Space property, as a part of a character class.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _OPEN = re.compile(" (?:\\s|\\Z)")  # a space before which a text cannot be cut
@@ -99,6 +100,12 @@ class _Bounded(dict):
         return found
 
 
+@lru_cache(maxsize=2)
+def encoder(name: str) -> Encoder:
+    """One for each Python worker, which keeps what it has folded from task to task."""
+    return Encoder(name)
+
+
 class Encoder:
     """Texts to ids, as little-endian 32-bit integers."""
 
@@ -125,12 +132,12 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str =
     """(key, text) to (key, ids array<int>). Null and empty texts have no ids; special tokens' strings are ordinary text. Every row gives one row."""
 
     def make() -> Callable:
-        encoder = Encoder(name)
+        code = encoder(name)
 
         def work(batch) -> Iterator[list]:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                ids = [encoder(t) if t else b"" for t in part.column(1).to_pylist()]
+                ids = [code(t) if t else b"" for t in part.column(1).to_pylist()]
                 ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
                 yield [part.column(0), pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(ids), "<i4"))]
 
@@ -139,6 +146,16 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", name: str =
     return map_rows(need(docs, key, text), make, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>")
 
 
+def _lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of a column, null ones empty, without an object for each value but its integer."""
+    if column.null_count:
+        yield from (x or [] for x in column.to_pylist())
+        return
+    values, ends = column.values.to_numpy(), column.offsets.to_pylist()
+    for a, b in zip(ends, ends[1:], strict=False):
+        yield values[a:b].tolist()
+
+
 def decode(encoded: DataFrame, key: str = "doc_id", name: str = VOCABULARY) -> DataFrame:
     """(key, ids) to (key, ids, bytes binary): the pieces of the ids, one after another. Null ids: none. An id that is no rank raises."""
 
@@ -148,7 +165,7 @@ def decode(encoded: DataFrame, key: str = "doc_id", name: str = VOCABULARY) -> D
         def work(batch) -> Iterator[list]:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                yield [part.column(0), part.column(1), [b"".join(map(pieces.__getitem__, ids or ())) for ids in part.column(1).to_pylist()]]
+                yield [part.column(0), part.column(1), [b"".join(map(pieces.__getitem__, ids)) for ids in _lists(part.column(1))]]
 
         return work
 
