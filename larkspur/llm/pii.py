@@ -20,7 +20,7 @@ from .common import map_rows, need, written
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, LEAST, GENERALISE, REMOVE = 4, 3, 0.85, 0.97
-COUNTED = 400_000  # distinct terms that one task counts before it passes them on
+COUNTED = 150_000  # distinct terms that one task counts before it passes them on
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
