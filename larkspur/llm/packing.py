@@ -22,7 +22,7 @@ from .common import map_rows, need, written
 
 CAPACITY = 2048
 MANY = 12  # configurations from one dynamic program at most
-SHARE, ETA = 0.25, 1.0  # of a length's count that one round covers at most; how fast its weight falls with that
+SHARE, ETA = 0.1, 1.0  # of a length's count that one round covers at most; how fast its weight falls with that
 PART = 100_000  # pieces of one length, on average, that are ranked in one part; there are 64 parts at least
 END_ID = 0
 TOKENIZER = "byte_bpe_50k"
