@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, need, written
 
 VOLUME, RECORDS = 1 << 20, 4096  # gzip bytes and records after which a volume ends
-LEVEL = 6
+LEVEL = 3
 DATE, IP = "20200101000000", "0.0.0.0"
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
