@@ -2,9 +2,9 @@
 
 Patterns find the protected entities. Over the whole corpus, the text around each entity tells how much a term reveals: the
 pointwise mutual information of term and entity, log2(N n(e, t) / (n(e) n(t))), against the information of the entity itself,
-log2(N / n(e)). The share is 1 for a term that never occurs without the entity. With n(.) counts of documents, terms that
-share their WINDOW words with an entity in LEAST documents or more are generalised where the share is at least GENERALISE
-and removed where it is at least REMOVE. What the patterns found stays found.
+log2(N / n(e)). The share is 1 for a term that never occurs without the entity. With n(.) counts of documents, terms within
+WINDOW words of an entity, however few documents that are, are generalised where the share is at least GENERALISE and removed
+where it is at least REMOVE. What the patterns found stays found.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, need, written
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW, LEAST, GENERALISE, REMOVE = 4, 3, 0.85, 0.97
+WINDOW, GENERALISE, REMOVE = 4, 0.85, 0.97
 COUNTED = 150_000  # distinct terms that one task counts before it passes them on
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -150,8 +150,8 @@ def document_counts(docs: DataFrame) -> DataFrame:
 
 def disclosure(near: DataFrame, counts: DataFrame, documents: int) -> DataFrame:
     """Distinct (entity, term, doc) with the documents' number of each term to (entity, term, share) of the pairs to sanitise."""
-    together = near.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= LEAST)
-    entities = near.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= LEAST)
+    together = near.groupBy("entity", "term").agg(F.count("*").alias("both"))
+    entities = near.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     met = together.join(entities, "entity").join(counts, "term")
     n = F.lit(float(max(documents, 1)))
     information = F.log2(n / F.col("n_entity"))

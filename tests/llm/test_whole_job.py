@@ -1,0 +1,21 @@
+"""Cases in which an operator once did less than the whole job."""
+
+from larkspur.llm import pii
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def sanitised(spark, texts):
+    found = {r["doc_id"]: r["spans"] for r in pii.sanitise(frame(spark, list(enumerate(texts)))).collect()}
+    return [[(s["kind"], t[s["start"] : s["end"]]) for s in found[i]] for i, t in enumerate(texts)]
+
+
+def test_entities_of_one_and_two_documents(spark):
+    texts = ["the xylograph maker one@mail.example.org is here", "the common quokka two@mail.example.org is here", "our quokka common two@mail.example.org is here"]
+    texts += [f"the common maker here and our text {i}" for i in range(40)]
+    found = sanitised(spark, texts)
+    assert found[0] == [("remove", "xylograph"), ("email", "one@mail.example.org")]
+    assert found[1] == found[2] == [("remove", "quokka"), ("email", "two@mail.example.org")]
+    assert not any(found[3:])
