@@ -4,15 +4,19 @@ Patterns find the protected entities. Over the whole corpus, the text around eac
 pointwise mutual information of term and entity, log2(N n(e, t) / (n(e) n(t))), against the information of the entity itself,
 log2(N / n(e)). The share is 1 for a term that never occurs without the entity. With n(.) counts of documents, terms within
 WINDOW words of an entity, however few documents that are, are generalised where the share is at least GENERALISE and removed
-where it is at least REMOVE. What the patterns found stays found.
+where it is at least REMOVE: every occurrence outside the patterns' matches, in all documents, near the entity or not, by the
+largest share that the term has with any entity. What the patterns found stays found.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +25,7 @@ from .common import map_rows, need, written
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, GENERALISE, REMOVE = 4, 0.85, 0.97
 COUNTED = 150_000  # distinct terms that one task counts before it passes them on
+FILTER_WORDS = 1 << 17  # 64-bit words of the filter that spares terms outside it the join; full, it spares fewer
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -79,7 +84,7 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else _NOT_DIGIT.sub('', value)}"
 
 
-def _around(text: str, start: int, end: int, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+def _around(text: str, start: int, end: int, taken: list[tuple[str, int, int]]) -> list[str]:
     """The terms among the WINDOW words on either side, without those within an entity."""
     left, right = start, end
     for _ in range(WINDOW):
@@ -92,12 +97,12 @@ def _around(text: str, start: int, end: int, taken: list[tuple[str, int, int]])
     out = []
     for m in (*_TERM.finditer(text, left, start), *_TERM.finditer(text, end, right)):
         if not any(s < m.end() and m.start() < e for _, s, e in taken):
-            out.append((m[0].lower(), m.start(), m.end()))
+            out.append(m[0].lower())
     return out
 
 
 SPAN = "struct<kind:string,start:long,end:long>"
-FOUND = f"spans array<{SPAN}>, near array<struct<entity:string,term:string,start:long,end:long>>"
+FOUND = f"spans array<{SPAN}>, near array<struct<entity:string,term:string>>"
 
 
 def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -109,7 +114,7 @@ def scan(docs: DataFrame, key: str = "doc_id") -> DataFrame:
             for text in batch.column(1).to_pylist():
                 found = base_spans(text)
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
-                near.append([{"entity": _entity(k, text[s:e]), "term": t, "start": a, "end": b} for k, s, e in found for t, a, b in _around(text, s, e, found)])
+                near.append([{"entity": _entity(k, text[s:e]), "term": t} for k, s, e in found for t in _around(text, s, e, found)])
             yield [batch.column(0), spans, near]
 
         return work
@@ -159,6 +164,66 @@ def disclosure(near: DataFrame, counts: DataFrame, documents: int) -> DataFrame:
     return met.where(information > 0).select("entity", "term", (mutual / information).alias("share")).where(F.col("share") >= GENERALISE)
 
 
+def _marks(term: str) -> Iterator[int]:
+    """The two bits of a term in the filter, as _filter() sets them."""
+    raw = term.encode()
+    return (crc32(raw + salt) % (64 * FILTER_WORDS) for salt in (b"", b"+"))
+
+
+def _filter(terms: DataFrame) -> array:
+    """Terms (term) to a filter of FILTER_WORDS words: of fixed size, whatever there is of terms."""
+    bit = F.explode(F.array(*(F.crc32(F.encode(F.concat("term", F.lit(salt)), "UTF-8")) % (64 * FILTER_WORDS) for salt in ("", "+"))))
+    words = terms.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).cast("int").alias("b")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("m"))
+    out = array("Q", bytes(8 * FILTER_WORDS))
+    for r in words.collect():
+        out[r["b"]] = r["m"] & (1 << 64) - 1
+    return out
+
+
+def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """docs (doc_id, text) to (doc_id, h, term, start, end): where terms (term) stand outside the patterns' matches; h is the text's XXH64.
+
+    Terms that are not asked for can be among them, as few as the filter lets through.
+    """
+    words = _filter(terms)
+
+    class Find:
+        def __init__(self) -> None:
+            self.parts: dict[str, tuple[str, ...]] = {}
+
+        def wanted(self, word: str) -> tuple[str, ...]:
+            found = self.parts.get(word)
+            if found is None:
+                if len(self.parts) >= COUNTED:
+                    self.parts.clear()
+                self.parts[word] = found = tuple(t for t in _TERM.findall(word) if all(words[b >> 6] >> (b & 63) & 1 for b in _marks(t)))
+            return found
+
+        def __call__(self, batch) -> Iterator[list]:
+            out: tuple = [], [], [], []
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                if not text:
+                    continue
+                # the two letters whose small form depends on what is around them
+                split = text.lower().split() if "\u0130" not in text and "\u03a3" not in text else [m[0].lower() for m in _TERM.finditer(text)]
+                hit = {t for w in set(split) for t in self.wanted(w)} | {w for w in split if "\u0307" in w}
+                if not hit:
+                    continue
+                taken, at = sorted((s, e) for _, s, e in base_spans(text)), 0
+                for m in _TERM.finditer(text):
+                    if (term := m[0].lower()) in hit:
+                        while at < len(taken) and taken[at][1] <= m.start():
+                            at += 1
+                        if not any(s < m.end() and m.start() < e for s, e in taken[at:]):
+                            for column, value in zip(out, (k, term, m.start(), m.end()), strict=True):
+                                column.append(value)
+            rows = pa.array(out[0], pa.int64())
+            yield [batch.column(0).take(rows), batch.column(1).take(rows), *out[1:]]
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_rows(docs.select("doc_id", F.xxhash64("text").alias("h"), "text"), Find, f"doc_id {kind}, h long, term string, start long, end long")
+
+
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) to (row, base, spans): row numbers the rows, base holds the patterns' spans, spans all of them by start.
 
@@ -166,15 +231,16 @@ def sanitise(docs: DataFrame) -> DataFrame:
     none. Each row gives one row, repeated ones and those with a null id too; ids only count as documents.
     """
     rows = written(scan(docs.select(F.struct("doc_id", F.xxhash64("text").alias("text")).alias("key"), "text"), "key").select("key", "spans", "near").withColumn("row", F.monotonically_increasing_id()), "pii-scan")
-    near = written(rows.select("row", F.explode("near").alias("x")).select("row", "x.*"), "pii-near")
-    seen = near.select("entity", "term", F.col("row").alias("doc")).distinct()
-    told = written(disclosure(seen, document_counts(docs), rows.count()), "pii-told")
-    extra = near.join(told, ["entity", "term"]).groupBy("row").agg(F.collect_set(F.struct(F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"), "start", "end")).alias("extra"))
+    seen = written(rows.select(F.col("row").alias("doc"), F.explode("near").alias("x")).select("x.entity", "x.term", "doc").distinct(), "pii-near")
+    told = written(disclosure(seen, document_counts(docs), rows.count()).groupBy("term").agg(F.max("share").alias("share")), "pii-told")
+    kind = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind")
+    extra = occurrences(docs, told).join(told, "term").groupBy("doc_id", "h").agg(F.collect_set(F.struct(kind, "start", "end")).alias("extra"))
     order = {k: i for i, k in enumerate((*KINDS, "generalise", "remove"))}
     rank = F.create_map(*(F.lit(x) for p in order.items() for x in p))
     every = F.concat("spans", F.coalesce("extra", F.array().cast(f"array<{SPAN}>")))
     every = F.transform(F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return rows.join(extra, "row", "left").select("key.doc_id", F.col("key.text").alias("text_hash"), F.col("spans").alias("base"), every.alias("spans"))
+    same = F.col("key.doc_id").eqNullSafe(F.col("doc_id")) & F.col("key.text").eqNullSafe(F.col("h"))
+    return rows.join(extra, same, "left").select("key.doc_id", F.col("key.text").alias("text_hash"), F.col("spans").alias("base"), every.alias("spans"))
 
 
 #: What stands for a span in a sanitised text.
@@ -218,9 +284,10 @@ def _joined(spans: str) -> F.Column:
 
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:
+    """Of documents without a pattern's match, the terms to sanitise are in `elsewhere`, of all others in `spans` with the matches."""
     found = sanitise(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
     def count(kind: str) -> F.Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined("base"), 256).alias("base_sha256"), F.when(F.size("base") > 0, _joined("spans")).otherwise("").alias("spans"), F.when(F.size("base") == 0, _joined("spans")).otherwise("").alias("elsewhere"))

@@ -19,3 +19,25 @@ def test_entities_of_one_and_two_documents(spark):
     assert found[0] == [("remove", "xylograph"), ("email", "one@mail.example.org")]
     assert found[1] == found[2] == [("remove", "quokka"), ("email", "two@mail.example.org")]
     assert not any(found[3:])
+
+
+def test_told_terms_go_everywhere(spark):
+    """Far from the entity in its document, and in a document without the entity."""
+    texts = [f"the {w} maker one@mail.example.org is here and so on to the very end of it xylograph." for w in ("xylograph", "Xylograph", "xylograph")]
+    texts += ["the common (Xylograph) maker \u0130 xylograph2 here, not xylographs", "", None] + [f"the common maker is here and so on to the very end of it {i}" for i in range(300)]
+    texts = [t for t in texts if t is not None]
+    found = sanitised(spark, texts)
+    kind = found[0][0][0]
+    assert kind in ("generalise", "remove")
+    assert all(f == [(kind, t.split(" ")[1]), ("email", "one@mail.example.org"), (kind, "xylograph")] for f, t in zip(found[:3], texts[:3], strict=True))
+    assert found[3] == [(kind, "Xylograph"), (kind, "xylograph")] and not any(found[4:])
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, list(enumerate(texts)))).collect()}
+    assert not any("xylograph" in t.lower().replace("xylographs", "") for t in clean.values())
+
+
+def test_op6_elsewhere(spark, tmp_path):
+    rows = [(0, "the xylograph maker one@mail.example.org is here"), (1, "a xylograph")] + [(i, f"the common maker is here {i}") for i in range(2, 300)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in pii.op6_pii(spark, str(tmp_path)).collect()}
+    assert found[0]["spans"] == "generalise:4:13,email:20:40" and found[0]["elsewhere"] == ""
+    assert found[1]["spans"] == "" and found[1]["elsewhere"] == "generalise:2:11" and found[2]["elsewhere"] == ""
