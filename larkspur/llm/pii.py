@@ -259,10 +259,15 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     return "".join([*out, text[done:]])
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text and any other columns) with the spans of sanitise() replaced in text. Every row stays; null and empty texts as they are."""
-    found = sanitise(docs.select("doc_id", "text")).where("size(spans) > 0 and doc_id is not null").select("doc_id", F.col("text_hash").alias("_larkspur_hash"), F.col("spans").alias("_larkspur_spans")).dropDuplicates(["doc_id", "_larkspur_hash"])
-    joined = docs.withColumn("_larkspur_hash", F.xxhash64("text")).join(found, ["doc_id", "_larkspur_hash"], "left").select(*docs.columns, "_larkspur_spans")
+def redact(docs: DataFrame, null_ids: bool = False) -> DataFrame:
+    """docs (doc_id, text and any other columns) with the spans of sanitise() replaced in text. Every row stays; null and empty texts as they are.
+
+    Rows with a null doc_id are redacted with null_ids only; without, their texts stay as they are.
+    """
+    found = sanitise(docs.select("doc_id", "text")).where("size(spans) > 0")
+    found = (found if null_ids else found.where("doc_id is not null")).select(F.col("doc_id").alias("_larkspur_id"), F.col("text_hash").alias("_larkspur_hash2"), F.col("spans").alias("_larkspur_spans")).dropDuplicates(["_larkspur_id", "_larkspur_hash2"])
+    same = F.col("doc_id").eqNullSafe(F.col("_larkspur_id")) & (F.col("_larkspur_hash") == F.col("_larkspur_hash2"))
+    joined = docs.withColumn("_larkspur_hash", F.xxhash64("text")).join(found, same, "left").select(*docs.columns, "_larkspur_spans")
     text = docs.columns.index("text")
 
     def make() -> Callable:

@@ -1,5 +1,6 @@
 """Cases in which an operator once did less than the whole job."""
 
+import corpus_pipeline
 from larkspur.llm import pii
 
 
@@ -41,3 +42,10 @@ def test_op6_elsewhere(spark, tmp_path):
     found = {r["doc_id"]: r for r in pii.op6_pii(spark, str(tmp_path)).collect()}
     assert found[0]["spans"] == "generalise:4:13,email:20:40" and found[0]["elsewhere"] == ""
     assert found[1]["spans"] == "" and found[1]["elsewhere"] == "generalise:2:11" and found[2]["elsewhere"] == ""
+
+
+def test_pipeline_redacts_null_ids(spark):
+    rows = [(None, "a@b.cd", 6), (None, "+1 (555) 010-1000", 17), (None, "a@b.cd", 6), (1, "a@b.cd", 6), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    found = sorted(str((r["text"], r["n_chars"])) for r in corpus_pipeline.personal_data_out(spark, docs, "").collect())
+    assert found == sorted(map(str, [("[EMAIL]", 7)] * 3 + [("[PHONE]", 7), (None, None)]))
