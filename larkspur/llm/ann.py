@@ -5,6 +5,9 @@ within a class of like norms, x becomes (x, sqrt(M^2 - |x|^2)) / M with M the la
 its own pseudo-rotation, three times random signs and a fast Hadamard transform, and keeps a vector under the nearest
 signed axis. A query looks under its PROBES nearest axes in each table and in each class; what it finds is ranked by the
 exact inner product of the original vectors. Copies of a vector are searched once.
+
+Keys hold one axis whatever the number of vectors: with keys of two, the same tables and probes find few of the neighbours. So the
+part of all vectors that a query is compared with stays as it is, and buckets grow with the vectors; CHUNK splits them.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from .common import bounded_batches, map_rows, need, written
 
 TABLES, PROBES, TURNS, SEED = 20, 8, 3, 20
 TOP = 20
-BUCKET = 4096  # vectors that a bucket should hold on average; more of them make keys of more axes
+BUCKET = 4096  # vectors that a bucket should hold on average, if nearest() is asked for keys of more axes
 CHUNK = 2048  # rows of a bucket that one task compares at a time
 
 
@@ -143,11 +146,11 @@ def _compare(top: int) -> Callable:
     return best
 
 
-def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, tables: int = TABLES, probes: int = PROBES, most_hashes: int = 1) -> DataFrame:
     """vectors (vec_id, embedding) to (query_id, rank, vec_id, score): the `top` nearest rows found of each whose id `every` divides.
 
     Nearest first, ties to the smaller id, never a query's own id; fewer where there are fewer. Vectors of other lengths are
-    no candidates. Null ids and vectors that usable() refuses take no part; of rows that repeat an id with its vector one counts.
+    no candidates. Keys hold up to most_hashes axes, as BUCKET wants; over one, recall falls unless tables and probes rise with it. Null ids and vectors that usable() refuses take no part; of rows that repeat an id with its vector one counts.
     """
     rows = need(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector")).where("vec_id is not null").where(usable("vector"))
     rows = rows.select("vec_id", F.xxhash64("vector").alias("a"), F.xxhash64(F.lit(1), "vector").alias("b"), "vector")
@@ -158,7 +161,7 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, tables: int = T
     kept = written(kept.withColumn("norm", norm).withColumn("dims", F.size("vector")).withColumn("class", F.floor(F.log2("norm")).cast("int")), "vectors")
     norms = {(r["dims"], r["class"]): r["m"] for r in kept.groupBy("dims", "class").agg(F.max("norm").alias("m"), F.count("*").alias("n")).collect()}  # a class is a power of two
     n, largest = kept.count(), max((d for d, _ in norms), default=1)
-    hashes = max(1, round(log(max(n, 1) / BUCKET) / log(2 * _size(largest)))) if n else 1
+    hashes = max(1, min(most_hashes, round(log(max(n, 1) / BUCKET) / log(2 * _size(largest))))) if n else 1
     asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "a", "b").distinct()
     queries = kept.join(asked.select("a", "b").distinct(), ["a", "b"], "left_semi")
 

@@ -1,7 +1,11 @@
 """Cases in which an operator once did less than the whole job."""
 
+import numpy as np
+from test_vectors_and_pipeline import brute, lists
+from test_vectors_and_pipeline import frame as vectors
+
 import corpus_pipeline
-from larkspur.llm import pii
+from larkspur.llm import ann, pii
 
 
 def frame(spark, rows):
@@ -49,3 +53,21 @@ def test_pipeline_redacts_null_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
     found = sorted(str((r["text"], r["n_chars"])) for r in corpus_pipeline.personal_data_out(spark, docs, "").collect())
     assert found == sorted(map(str, [("[EMAIL]", 7)] * 3 + [("[PHONE]", 7), (None, None)]))
+
+
+def test_recall_past_the_switch(spark, monkeypatch):
+    """Production tables and probes in 64 dimensions, with as many vectors a bucket as would have made keys of two axes."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(12, 64))
+    x = centres[rng.integers(0, 12, 1500)] + rng.normal(size=(1500, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype("f4").astype(float)
+    monkeypatch.setattr(ann, "BUCKET", 1500 / 256**1.6)
+    want = brute(x, range(1500), 20, 20)
+
+    def recall(**kinds):
+        got = lists(ann.nearest(vectors(spark, x), **kinds))
+        return np.mean([len({j for _, j in got.get(q, ())} & {j for _, j in want[q]}) / 20 for q in want])
+
+    one, two = recall(), recall(most_hashes=2)
+    print(f"recall {one:.3f}, {two:.3f}")
+    assert one >= 0.9 > two
