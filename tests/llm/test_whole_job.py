@@ -5,7 +5,7 @@ from test_vectors_and_pipeline import brute, lists
 from test_vectors_and_pipeline import frame as vectors
 
 import corpus_pipeline
-from larkspur.llm import ann, pii
+from larkspur.llm import ann, linededup, pii
 
 
 def frame(spark, rows):
@@ -71,3 +71,11 @@ def test_recall_past_the_switch(spark, monkeypatch):
     one, two = recall(), recall(most_hashes=2)
     print(f"recall {one:.3f}, {two:.3f}")
     assert one >= 0.9 > two
+
+
+def test_signs_between_words(spark):
+    """Equal words with signs between them, where the most frequent line of their SimHash has another order of words."""
+    words = [f"w{i}x" for i in range(30)]
+    rows = [(0, "\n".join([" ".join(reversed(words))] * 3)), (1, " ".join(words)), (2, " | ".join(words))]
+    found = {(r["doc_id"], r["line_no"]): r["group_doc_id"] for r in linededup.line_groups(frame(spark, rows)).collect()}
+    assert found == {(0, 0): 0, (0, 1): 0, (0, 2): 0, (1, 0): 1, (2, 0): 1}
