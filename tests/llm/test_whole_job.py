@@ -79,3 +79,13 @@ def test_signs_between_words(spark):
     rows = [(0, "\n".join([" ".join(reversed(words))] * 3)), (1, " ".join(words)), (2, " | ".join(words))]
     found = {(r["doc_id"], r["line_no"]): r["group_doc_id"] for r in linededup.line_groups(frame(spark, rows)).collect()}
     assert found == {(0, 0): 0, (0, 1): 0, (0, 2): 0, (1, 0): 1, (2, 0): 1}
+
+
+def test_short_lines(spark, tmp_path):
+    long = "one two three four five six"
+    rows = [(1, f"All rights reserved.\n\n---\n{long}\nx\ty\tz"), (2, f"all  rights (reserved)\n \n --- \n{long}\nx\ty\tz\n漢字漢字漢字漢字漢字漢字漢字。"), (3, "漢字漢字漢字漢字漢字漢字漢字。\nReserved rights all"), (4, None), (None, "All rights reserved."), (5, "")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r["doc_id"], r["line_no"]): (r["group_doc_id"], r["group_line_no"], r["kept"]) for r in linededup.op10_line_dedup(spark, str(tmp_path)).collect()}
+    want = {(1, k): (1, k, True) for k in range(5)} | {(2, k): (1, k, False) for k in (0, 2, 3, 4)} | {(2, 1): (2, 1, True), (2, 5): (2, 5, True)}
+    assert found == want | {(3, 0): (2, 5, False), (3, 1): (3, 1, True), (5, 0): (5, 0, True)}
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(frame(spark, rows), short=True).collect()} == {i: t for i, t in rows} | {2: " \n漢字漢字漢字漢字漢字漢字漢字。", 3: "Reserved rights all"}
