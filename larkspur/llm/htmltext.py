@@ -4,6 +4,9 @@ Every DOM node has C characters and T tags below it, of which LC and LT belong t
 scaled by a logarithm that falls with the share of links against that of the whole body. The density sum of a node adds its
 children's densities; the node with the largest sum holds the article. The smallest density on the path from there up to
 the body is the threshold from which other subtrees count as content too.
+
+Before that, what surrounds an article by its element or names is marked out, except for forms and named elements that hold most of
+the page's text outside links, and any article or main element with text that there is. If the page has an article or main element, that is taken whole and the threshold does not run.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_SPACE = re.compile(r"\s+")
 
 # Element names of HTML, and words that sites use in class, id and role for what surrounds an article.
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -31,27 +35,61 @@ SCOPES = frozenset("html body table td th caption button object template article
 AROUND = frozenset("ad ads adbox adslot advert adverts advertising advertisement sponsor sponsored sponsors promo promos promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars footer masthead comment comments commentlist disqus respond reply replies share sharing social related recommended widget widgets toolbar login signup pagination pager banner complementary contentinfo skip".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 HEADINGS = ("h1", "h2", "h3")  # of an article that stands above its text
+WRAPS = frozenset(("form", "fieldset"))  # of DROPPED, what can stand around a whole page
 LINK_SHARE = 0.6  # of a list's or division's characters within links, from which it is a menu
 
 
 class Node:
-    __slots__ = ("chars", "density", "kids", "link_chars", "link_tags", "out", "parent", "sum", "tag", "tags")
+    __slots__ = ("around", "chars", "density", "kids", "link_chars", "link_tags", "out", "parent", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+        self.tag, self.parent, self.out, self.around = tag, parent, out, ""
         self.kids: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _around(tag: str, attributes: str, inside: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not inside:
-        return True
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return tag not in ("html", "body", "article", "main") and any(w in AROUND or w == "header" and not inside for m in _NAMES.finditer(attributes) for w in _WORD.findall((m[1] or m[2] or m[3] or "").lower()))
+def _around(tag: str, attributes: str, inside: bool) -> str:
+    """"hidden" for what is never content, "names" for what surrounds an article unless it holds it, else empty.
+
+    Of a class, id or role all words count: "cookie-notice" surrounds, "has-sidebar" and "no-comments" do not.
+    """
+    if tag in DROPPED and tag not in WRAPS or tag == "header" and not inside or attributes and _HIDDEN.search(attributes):
+        return "hidden"
+    if tag in WRAPS:
+        return "names"
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return ""
+    for m in _NAMES.finditer(attributes):
+        for name in (m[1] or m[2] or m[3] or "").lower().split():
+            words = _WORD.findall(name)
+            if words and all(w in AROUND or w == "header" and not inside for w in words):
+                return "names"
+    return ""
+
+
+def _keep_most(root: Node) -> None:
+    """Sets `out` from `around`; what names mark stays if it holds over half of the page's text outside links, and an article if the page has one."""
+    order, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        order.append(n)
+        todo += [k for k in n.kids if isinstance(k, Node) and k.around != "hidden"]
+    if not any(n.around for n in order) and all(not isinstance(k, Node) or k.around != "hidden" for n in order for k in n.kids):
+        return
+    text: dict[Node, int] = {}
+    declares: set[Node] = set()
+    for n in reversed(order):
+        text[n] = 0 if n.tag == "a" else sum(len(_SPACE.sub("", k)) if isinstance(k, str) else text.get(k, 0) for k in n.kids)
+        if n.tag in ("article", "main") and text[n] or any(k in declares for k in n.kids if isinstance(k, Node)):
+            declares.add(n)
+    todo = [root]
+    while todo:
+        n = todo.pop()
+        for k in n.kids:
+            if isinstance(k, Node):
+                k.out = n.out or k.around == "hidden" or k.around == "names" and (text[k] * 2 <= text[root] or k not in declares and root in declares)
+                todo.append(k)
 
 
 def parse(html: str) -> Node:
@@ -100,7 +138,8 @@ def parse(html: str) -> Node:
             close({"p"}, SCOPES)
         if tag in CLOSED_BY and any(open_.get(t) for t in CLOSED_BY[tag]):
             close(CLOSED_BY[tag], frozenset(("ul", "ol", "dl", "table", "select", "html")))
-        node = Node(tag, at, at.out or _around(tag, m[3], bool(open_.get("article") or open_.get("main"))))
+        node = Node(tag, at, False)
+        node.around = _around(tag, m[3], bool(open_.get("article") or open_.get("main")))
         at.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, here)
@@ -108,6 +147,7 @@ def parse(html: str) -> Node:
         elif tag not in VOID and not m[3].endswith("/"):
             at, depth = node, depth + 1
             open_[tag] = open_.get(tag, 0) + 1
+    _keep_most(root)
     return root
 
 

@@ -5,7 +5,7 @@ from test_vectors_and_pipeline import brute, lists
 from test_vectors_and_pipeline import frame as vectors
 
 import corpus_pipeline
-from larkspur.llm import ann, linededup, pii
+from larkspur.llm import ann, htmltext, linededup, pii
 
 
 def frame(spark, rows):
@@ -89,3 +89,10 @@ def test_short_lines(spark, tmp_path):
     want = {(1, k): (1, k, True) for k in range(5)} | {(2, k): (1, k, False) for k in (0, 2, 3, 4)} | {(2, 1): (2, 1, True), (2, 5): (2, 5, True)}
     assert found == want | {(3, 0): (2, 5, False), (3, 1): (3, 1, True), (5, 0): (5, 0, True)}
     assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(frame(spark, rows), short=True).collect()} == {i: t for i, t in rows} | {2: " \n漢字漢字漢字漢字漢字漢字漢字。", 3: "Reserved rights all"}
+
+
+def test_marks_around_the_whole_page():
+    text = "A long text of an article."
+    for before, after in (('<div class="page has-sidebar">', "</div>"), ('<div class="content no-comments">', "</div>"), ('<div id="page-with-menu"><article>', "</article></div>"), ("<form>", "</form>"), ('<div class="widget"><article>', "</article></div>")):
+        assert htmltext.extract(f"<body>{before}<p>{text}</p><div class='cookie-notice'>Cookies</div>{after}<footer>foot</footer>") == text
+    assert htmltext.extract(f"<article><p>{text}</p></article><div class=ad>{text * 3}</div><footer>{text * 3}</footer>") == text
