@@ -74,7 +74,7 @@ def test_recall_past_the_switch(spark, monkeypatch):
 
 
 def test_signs_between_words(spark):
-    """Equal words with signs between them, where the most frequent line of their SimHash has another order of words."""
+    """Equal words with signs between them, where the most frequent line of their blocks has another order of words."""
     words = [f"w{i}x" for i in range(30)]
     rows = [(0, "\n".join([" ".join(reversed(words))] * 3)), (1, " ".join(words)), (2, " | ".join(words))]
     found = {(r["doc_id"], r["line_no"]): r["group_doc_id"] for r in linededup.line_groups(frame(spark, rows)).collect()}
