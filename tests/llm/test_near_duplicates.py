@@ -117,8 +117,7 @@ def word_hashes(spark, words):
 def slow_blocks(line, known, least=linededup.LEAST_BITS):
     """The blocks of a line, as tuples, without the library's columns."""
     x = [known[w] for w in slow_words(line)]
-    lone = any(len(w) < 2 and w.isascii() and not w.isalnum() for w in line.split(" ")[1:-1])
-    n = len(x) if lone else len(line.split(" "))
+    n = len(x) if any(p in line for p in ("  ", " | ", " - ")) else len(line.split(" "))
     step = lambda n: 0 if n < 20 else 1 + int(log2(n / 20))
     out = set()
     for at in {step(n), step(ceil(n * 1.1))}:
