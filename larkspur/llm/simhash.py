@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
+from ..operators.joins import join_counted
 from .common import map_rows, need, written
 
 WORDS_AT_ONCE = 1 << 16
+LAST = (1 << 63) - 1  # stands for the id of documents that have none
 #: Rows of a bucket up to which its pairs are compared directly; larger buckets go the linear way of _by_balls.
 SMALL_BUCKET = 24
 
@@ -95,20 +97,30 @@ def near_duplicates(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFram
     as they came in. An empty table gives an empty one. Other columns of docs do not matter.
     """
     prints = written(fingerprints(docs, size), "fingerprints")
-    points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    groups = written(components(links(points.select("fp"), radius)), "groups")
-    named = points.join(groups.withColumnRenamed("vertex", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(least, "component").select("fp", "component_id"), "fp")
+    points = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "points")
+    # a vertex is a fingerprint by its smallest id, so that the smallest vertex of a component has the id that names it; without ids it is the last
+    vertex = F.struct(F.coalesce("least", F.lit(LAST)).alias("least"), "fp")
+    ends = links(points.select("fp"), radius)
+    for end in "uv":
+        ends = ends.join(points.select(F.col("fp").alias(end), vertex.alias(f"{end}_")), end)
+    groups = written(components(ends.select(F.col("u_").alias("u"), F.col("v_").alias("v"))), "groups")
+    found = groups.select("vertex.fp", F.nullif("component.least", F.lit(LAST)).alias("component_id"), F.lit(True).alias("linked"))
+    named = points.join(found, "fp", "left").select("fp", "n", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
+    named = written(named, "named")
+    return join_counted(prints, named, "fp", "n")
 
 
 def keep_first(docs: DataFrame, radius: int = 2, size: int = 3) -> DataFrame:
-    """docs with one document of each component, that of the smallest doc_id. Rows with a null doc_id, and repeated rows with that id, stay."""
+    """docs with one document of each component, that of the smallest doc_id. Rows with a null doc_id, and repeated rows with that id, stay.
+
+    Null and wordless texts are copies of one another. Columns of any name stay as they are. An empty table gives an empty one.
+    """
     gone = near_duplicates(docs, radius, size).where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op3_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """A row for each document, null and wordless texts too."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = near_duplicates(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
