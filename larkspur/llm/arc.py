@@ -91,8 +91,11 @@ def arc_record(name: str, version: int, url: str, block: bytes, kind: str = "tex
     return f"{url} {ip} {date} {kind} {more}{len(block)}\n".encode() + block + b"\n"
 
 
-def read_arc(data: bytes) -> Iterator[ArcRecord]:
-    """The documents of a volume, by declared length; version blocks set the line's form. A line with a bad length ends its member."""
+def read_arc(data: bytes, faults: list[str] | None = None) -> Iterator[ArcRecord]:
+    """The documents of a volume, by declared length; version blocks set the line's form.
+
+    A line with another number of fields is passed over with its block, one with a bad length ends its member; `faults` gets each such line.
+    """
     index, fields = 0, len(FIELDS[1].split())
     for part in members(data):
         at = 0
@@ -103,6 +106,8 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
             end = part.find(b"\n", at)
             line = part[at : end if end >= 0 else len(part)].decode("utf-8", "replace").rstrip("\r").split(" ")
             if end < 0 or len(line) < 5 or not line[-1].isdigit() or int(line[-1]) > len(part) - end - 1:
+                if faults is not None:
+                    faults.append(" ".join(line))
                 break
             block = part[end + 1 : end + 1 + int(line[-1])]
             at = end + 1 + len(block)
@@ -111,6 +116,8 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
             elif len(line) == fields:
                 yield ArcRecord(index, line[0], line[1], line[2], line[3], block)
                 index += 1
+            elif faults is not None:
+                faults.append(" ".join(line))
 
 
 def warc_date(date: str) -> str:
@@ -193,7 +200,7 @@ class _Volumes:
 
 
 def write_arc(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, html) to ARC volumes, of both versions in turn. Each row is a document, an HTTP response with the html in UTF-8 (null: empty)."""
+    """pages (page_id, url, html) to ARC volumes, of both versions in turn. Each row is a document, an HTTP response with the html in UTF-8 (null: empty), repeated rows too; other columns are left out."""
 
     class Write(_Volumes):
         def __init__(self) -> None:
@@ -235,7 +242,7 @@ def revisits(index: DataFrame) -> DataFrame:
 
 
 def convert_volumes(volumes: DataFrame, again: DataFrame) -> DataFrame:
-    """ARC volumes and revisits() to WARC volumes, one for each."""
+    """ARC volumes and revisits() to WARC volumes, one for each; faults: how many of its lines were not documents."""
 
     def make() -> Callable:
         def work(batch) -> Iterator[list]:
@@ -243,11 +250,13 @@ def convert_volumes(volumes: DataFrame, again: DataFrame) -> DataFrame:
                 original = {x["place"]: x["original"] for x in found or ()}
                 out = f"{name.removesuffix('.arc.gz')}.warc.gz"
                 info = warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, out)}>"), ("WARC-Date", warc_date(DATE)), ("WARC-Filename", out), ("Content-Type", "application/warc-fields")], f"format: WARC File Format 1.1\r\nconverted-from: {name}\r\n".encode())
-                yield [[out], [b"".join([_member(info), *(_member(convert(name, r, original.get(r.index))) for r in read_arc(data))])]]
+                faults: list[str] = []
+                records = [_member(convert(name, r, original.get(r.index))) for r in read_arc(data, faults)]
+                yield [[out], [b"".join([_member(info), *records])], [len(faults)]]
 
         return work
 
-    return map_rows(volumes.join(again, "volume", "left").select("volume", "data", "revisits"), make, "volume string, data binary")
+    return map_rows(volumes.join(again, "volume", "left").select("volume", "data", "revisits"), make, "volume string, data binary, faults long")
 
 
 RECORD = "id long, record string, record_type string, url string, date string, payload_bytes long, payload_digest string, refers_to long, block_ok boolean"
@@ -276,7 +285,10 @@ def read_volumes(volumes: DataFrame) -> DataFrame:
 
 
 def archive(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, html) through ARC volumes and their conversion to WARC volumes, written to the shared folder."""
+    """pages (page_id, url, html) through ARC volumes and their conversion to WARC volumes, written to the shared folder.
+
+    Of repeated rows, and of pages with equal ids, each has a record. Rows with a null id have responses of their own. An empty table gives no volumes.
+    """
     arcs = written(write_arc(pages), "arc")
     again = written(revisits(index_arc(arcs)), "revisits")
     return written(convert_volumes(arcs, again), "warc")

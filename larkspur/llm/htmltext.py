@@ -5,8 +5,10 @@ scaled by a logarithm that falls with the share of links against that of the who
 children's densities; the node with the largest sum holds the article. The smallest density on the path from there up to
 the body is the threshold from which other subtrees count as content too.
 
-Before that, what surrounds an article by its element or names is marked out, except for forms and named elements that hold most of
-the page's text outside links, and any article or main element with text that there is. If the page has an article or main element, that is taken whole and the threshold does not run.
+What surrounds an article by its element or names is marked out before, except for forms and named elements that hold most of
+the page's text outside links, and any article or main element with text that there is. An article or main element that the page
+declares can only confirm what density has found: where over half of the text found lies within such elements, those it lies in
+are taken whole, and else they do not count.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import DataFrame
 
 from .common import map_rows, need
 
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""[>"']""")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -92,9 +95,58 @@ def _keep_most(root: Node) -> None:
                 todo.append(k)
 
 
+class _Markup:
+    """Finds the tags, comments and declarations of a page, in one pass whatever its quotes are like."""
+
+    def __init__(self, html: str):
+        self.html, self.dead, self.stop = html, set(), (0, -1)
+        self.last = {c: html.rfind(c) for c in ">\"'"}
+
+    def _next_stop(self, at: int) -> int:
+        """Where the next > or quote is; -1: nowhere."""
+        known, stop = self.stop
+        if not (known <= at <= stop or stop < 0 and known <= at and known):
+            m = _STOP.search(self.html, at)
+            self.stop = at, m.start() if m else -1
+        return self.stop[1]
+
+    def _end(self, at: int) -> int:
+        """The place of the > that ends a tag, outside quotes; -1: none. Places from which that failed before are not tried again."""
+        passed = []
+        while at <= self.last[">"] and at not in self.dead:
+            passed.append(at)
+            stop = self._next_stop(at)
+            if stop < 0:
+                break
+            quote = self.html[stop]
+            if quote == ">":
+                return stop
+            if stop >= self.last[quote]:
+                break
+            at = self.html.find(quote, stop + 1) + 1
+        self.dead.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", name, attributes) of what comes next, with an empty name for what is no tag; None: nothing."""
+        html, at = self.html, self.html.find("<", at)
+        while at >= 0:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                return at, len(html) if end < 0 else end + 3, "", "", ""
+            if m := _NAME.match(html, at + 1):
+                end = self._end(m.end())
+                if end >= 0:
+                    return at, end + 1, m[1], m[2], html[m.end() : end]
+            if html[at + 1 : at + 2] in ("!", "?", "/") and (end := html.find(">", at + 2)) >= 0:
+                return at, end + 1, "", "", ""
+            at = html.find("<", at + 1)
+        return None
+
+
 def parse(html: str) -> Node:
     """A tree of Nodes and texts; `out` marks what surrounds an article. Unclosed and stray tags are mended as browsers do."""
-    root = Node("html", None, False)
+    root, markup = Node("html", None, False), _Markup(html)
     at, here, depth, open_ = root, 0, 0, {"html": 1}
 
     def leave(to: Node) -> None:
@@ -113,17 +165,17 @@ def parse(html: str) -> Node:
             n = n.parent
 
     while here < len(html):
-        m = _MARKUP.search(html, here)
-        if not m:
+        found = markup.next(here)
+        if not found:
             at.kids.append(html[here:])
             break
-        if m.start() > here:
-            at.kids.append(html[here : m.start()])
-        here = m.end()
-        if not m[2]:
+        start, end, slash, tag, attributes = found
+        if start > here:
+            at.kids.append(html[here:start])
+        here, tag = end, tag.lower()
+        if not tag:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if slash:
             if open_.get(tag) and tag != "html":
                 n = at
                 while n.tag != tag:
@@ -139,12 +191,12 @@ def parse(html: str) -> Node:
         if tag in CLOSED_BY and any(open_.get(t) for t in CLOSED_BY[tag]):
             close(CLOSED_BY[tag], frozenset(("ul", "ol", "dl", "table", "select", "html")))
         node = Node(tag, at, False)
-        node.around = _around(tag, m[3], bool(open_.get("article") or open_.get("main")))
+        node.around = _around(tag, attributes, bool(open_.get("article") or open_.get("main")))
         at.kids.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, here)
             here = end.end() if end else len(html)
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not attributes.endswith("/"):
             at, depth = node, depth + 1
             open_[tag] = open_.get(tag, 0) + 1
     _keep_most(root)
@@ -192,6 +244,34 @@ def _under(n: Node, tags: tuple) -> Node | None:
     return best
 
 
+def _declared(root: Node) -> list[Node]:
+    """The outermost article and main elements with text, in page order."""
+    found, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        if n.tag in ("article", "main") and n.chars:
+            found.append(n)
+        else:
+            todo += [k for k in reversed(n.kids) if isinstance(k, Node) and not k.out]
+    return found
+
+
+def confirmed(root: Node, found: list[Node]) -> list[Node]:
+    """The declared articles in which over half of the text found lies, else what was found."""
+    declared, chosen, within = _declared(root), set(found), {}
+    for d in declared:
+        n = d
+        while n and n not in chosen:
+            n = n.parent
+        within[d] = d.chars if n else 0  # all of it lies in what was found
+    for f in found:
+        outer = _under(f.parent, ("article", "main")) if f.parent else None
+        if outer in within:
+            within[outer] += f.chars
+    held = [d for d in declared if within[d]]
+    return held if sum(within[d] for d in held) * 2 > sum(f.chars for f in found) else found
+
+
 def content(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     nodes = _nodes(root)
@@ -201,12 +281,6 @@ def content(root: Node) -> list[Node]:
     top = max(nodes, key=lambda n: n.sum)
     if not top.sum:
         return [nodes[0]]
-    for tag in ("article", "main"):  # an article that the page declares is taken whole
-        if found := _under(top, (tag,)):
-            return [found]
-        declared = [n for n in nodes if n.tag == tag and n.chars]
-        if declared and _under(declared[0].parent, (tag,)) is None and sum(n.chars for n in declared if _under(n.parent, (tag,)) is None) * 2 > top.chars:
-            return [n for n in declared if _under(n.parent, (tag,)) is None]
     threshold, n = top.density, top
     while n.parent and n.tag != "body":
         n = n.parent
@@ -224,7 +298,7 @@ def content(root: Node) -> list[Node]:
             found.append(n)
         elif n in above:
             todo += [k for k in reversed(n.kids) if isinstance(k, Node) and not k.out]
-    return found
+    return confirmed(root, found)
 
 
 def text_of(roots: list[Node]) -> str:
@@ -259,12 +333,15 @@ def text_of(roots: list[Node]) -> str:
 
 
 def extract(html: str | None) -> str:
-    """The main text of one page; empty for a null, an empty page and one without text."""
+    """The main text of one page; empty for a null, an empty page and one without text. The time grows with the page's length, whatever its markup."""
     return text_of(content(parse(html))) if html else ""
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, html) to (page_id, url, text, n_chars). Every row gives one row, repeated ones and null ids too."""
+    """pages (page_id, url, html) to (page_id, url, text, n_chars). Every row gives one row, repeated ones and null ids too.
+
+    A null, empty or textless page has an empty text. Other columns, a text or n_chars among them, are left out. An empty table gives an empty one.
+    """
 
     def make() -> Callable:
         def work(batch) -> Iterator[list]:

@@ -119,69 +119,145 @@ class Stream:
         return b"".join(u.data for u in self.units if pid is None or u.pid == pid)
 
 
-def demux(data: bytes | None) -> Stream:
-    """What a stream holds. Damage never raises: a bad sync byte skips its packet, a failed CRC its table; a continuity break
-    counts, and the unit that it falls into ends there. A repeated packet counts as a duplicate and is dropped. Null: empty."""
-    s, data = Stream(), data or b""
-    last: dict[int, tuple[int, bytes]] = {}
-    open_: dict[int, list[bytes]] = {}
-    random: dict[int, bool] = {}
-
-    def close(pid: int) -> None:
-        raw = b"".join(open_.pop(pid, []))
+def _in_step(data: bytes, at: int) -> bool:
+    """Whether a packet can start at `at`: a sync byte there, and where the next two packets would start."""
+    return all(k >= len(data) or data[k] == SYNC for k in range(at, at + 3 * PACKET, PACKET))
+
+
+def packets(data: bytes) -> Iterator[bytes | None]:
+    """The packets of a stream; None for one with a bad sync byte, and once for a run of bytes that belong to no packet.
+
+    Where a sync byte is missing but the ones after it are in step, that packet is lost; else the next place from which three are in step goes on.
+    """
+    at = 0
+    while at + PACKET <= len(data):
+        if data[at] == SYNC:
+            yield data[at : at + PACKET]
+            at += PACKET
+            continue
+        yield None
+        if at + 2 * PACKET <= len(data) and _in_step(data, at + PACKET):
+            at += PACKET
+            continue
+        at = data.find(SYNC, at + 1)
+        while at >= 0 and not _in_step(data, at):
+            at = data.find(SYNC, at + 1)
+        if at < 0:
+            return
+
+
+class _Demux:
+    """Puts packets together: sections of tables, and units of the streams that they name."""
+
+    def __init__(self) -> None:
+        self.found = Stream()
+        self.last: dict[int, tuple[int, bytes]] = {}
+        self.units: dict[int, list[bytes]] = {}
+        self.random: dict[int, bool] = {}
+        self.sections: dict[int, bytes] = {}
+
+    def close(self, pid: int) -> None:
+        raw = b"".join(self.units.pop(pid, []))
         if len(raw) < 9 or raw[:3] != b"\x00\x00\x01":
             return
         size, flags, head = int.from_bytes(raw[4:6], "big"), raw[7], 9 + raw[8]
         pts = _ticks(raw[9:14]) if flags & 0x80 and len(raw) >= 14 else None
         dts = _ticks(raw[14:19]) if flags & 0xC0 == 0xC0 and len(raw) >= 19 else pts
-        s.units.append(Unit(pid, pts, dts, random.pop(pid, False), raw[head : 6 + size if size else None]))
-
-    for at in range(0, len(data) - PACKET + 1, PACKET):
+        self.found.units.append(Unit(pid, pts, dts, self.random.pop(pid, False), raw[head : 6 + size if size else None]))
+
+    def table(self, pid: int, section: bytes) -> None:
+        s = self.found
+        if len(section) < 12 or crc_mpeg(section):
+            s.crc_errors += 1
+        elif not section[5] & 1:
+            return  # not in force yet
+        elif pid == 0:
+            for k in range(8, len(section) - 4, 4):
+                if number := int.from_bytes(section[k : k + 2], "big"):
+                    s.programs[number] = int.from_bytes(section[k + 2 : k + 4], "big") & 0x1FFF
+        else:
+            k = 12 + (int.from_bytes(section[10:12], "big") & 0xFFF)
+            while k + 5 <= len(section) - 4:
+                s.streams[int.from_bytes(section[k + 1 : k + 3], "big") & 0x1FFF] = section[k]
+                k += 5 + (int.from_bytes(section[k + 3 : k + 5], "big") & 0xFFF)
+
+    def whole_sections(self, pid: int) -> None:
+        """Reads what is whole of a table's bytes so far; stuffing ends them."""
+        raw = self.sections[pid]
+        while len(raw) >= 3 and raw[0] != 0xFF and len(raw) >= (size := 3 + (int.from_bytes(raw[1:3], "big") & 0xFFF)):
+            self.table(pid, raw[:size])
+            raw = raw[size:]
+        if raw and raw[0] != 0xFF:
+            self.sections[pid] = raw
+        else:
+            del self.sections[pid]
+
+    def tables(self, pid: int, starts: bool, body: bytes) -> None:
+        """A section can fill several packets, and a packet can end one and hold others."""
+        if not starts:
+            if pid in self.sections:
+                self.sections[pid] += body
+                self.whole_sections(pid)
+            return
+        if not body:
+            return
+        before, after = body[1 : 1 + body[0]], body[1 + body[0] :]
+        if pid in self.sections:
+            self.sections[pid] += before
+            self.whole_sections(pid)
+            if self.sections.pop(pid, None):
+                self.found.crc_errors += 1
+        self.sections[pid] = after
+        self.whole_sections(pid)
+
+    def add(self, packet: bytes | None) -> None:
+        s = self.found
         s.packets += 1
-        if data[at] != SYNC or data[at + 1] & 0x80:
+        if packet is None or packet[1] & 0x80:
             s.sync_errors += 1
-            continue
-        pid, starts, control, count = (data[at + 1] & 31) << 8 | data[at + 2], data[at + 1] & 0x40, data[at + 3] & 0x30, data[at + 3] & 15
+            return
+        pid, starts, control, count = (packet[1] & 31) << 8 | packet[2], bool(packet[1] & 0x40), packet[3] & 0x30, packet[3] & 15
         if pid == 0x1FFF or not control:
-            continue
-        begin, reach, marks = at + 4, at + PACKET, 0
+            return
+        begin, marks = 4, 0
         if control & 0x20:
-            marks = data[begin + 1] if data[begin] else 0
-            begin = min(begin + 1 + data[begin], reach)
-        if control & 0x10:
-            body, before = data[begin:reach], last.get(pid)
-            if before and not marks & 0x80:
-                if before[0] == count and before[1] == body:
-                    s.duplicates += 1
-                    continue
-                if before[0] + 1 & 15 != count:
-                    s.cc_errors += 1
-                    close(pid)
-            last[pid] = count, body
-            if pid == 0 or pid in s.programs.values():
-                if starts and body:
-                    sec = body[1 + body[0] :]
-                    sec = sec[: 3 + (int.from_bytes(sec[1:3], "big") & 0xFFF)]
-                    if len(sec) < 12 or crc_mpeg(sec):
-                        s.crc_errors += 1
-                    elif pid == 0:
-                        for k in range(8, len(sec) - 4, 4):
-                            if number := int.from_bytes(sec[k : k + 2], "big"):
-                                s.programs[number] = int.from_bytes(sec[k + 2 : k + 4], "big") & 0x1FFF
-                    else:
-                        k = 12 + (int.from_bytes(sec[10:12], "big") & 0xFFF)
-                        while k + 5 <= len(sec) - 4:
-                            s.streams[int.from_bytes(sec[k + 1 : k + 3], "big") & 0x1FFF] = sec[k]
-                            k += 5 + (int.from_bytes(sec[k + 3 : k + 5], "big") & 0xFFF)
-            elif pid in s.streams:
-                if starts:
-                    close(pid)
-                    open_[pid], random[pid] = [body], bool(marks & 0x40)
-                elif pid in open_:
-                    open_[pid].append(body)
-    for pid in list(open_):
-        close(pid)
-    return s
+            marks = packet[5] if packet[4] else 0
+            begin = min(5 + packet[4], PACKET)
+        if not control & 0x10:
+            return
+        body, before = packet[begin:], self.last.get(pid)
+        if before and not marks & 0x80:
+            if before[0] == count and before[1] == body:
+                s.duplicates += 1
+                return
+            if before[0] + 1 & 15 != count:
+                s.cc_errors += 1
+                self.close(pid)
+                self.sections.pop(pid, None)
+        self.last[pid] = count, body
+        if pid == 0 or pid in s.programs.values():
+            self.tables(pid, starts, body)
+        elif pid in s.streams:
+            if starts:
+                self.close(pid)
+                self.units[pid], self.random[pid] = [body], bool(marks & 0x40)
+            elif pid in self.units:
+                self.units[pid].append(body)
+
+
+def demux(data: bytes | None) -> Stream:
+    """What a stream holds. Null: empty.
+
+    Damage never raises: a bad sync byte costs its packet, other bytes those up to the next packets in step; a failed CRC costs its
+    section; a continuity break counts, and the unit and section that it falls into end there. A repeated packet counts as a
+    duplicate and is dropped.
+    """
+    d = _Demux()
+    for packet in packets(data or b""):
+        d.add(packet)
+    for pid in list(d.units):
+        d.close(pid)
+    return d.found
 
 
 def padded(text: Column | str) -> Column:
@@ -193,7 +269,7 @@ def padded(text: Column | str) -> Column:
 
 
 def store(df: DataFrame, id_column: str, payload: str) -> DataFrame:
-    """(id, payload binary) to (id, media binary), one stream a row. A null payload gives a null stream."""
+    """(id, payload binary) to (id, media binary), one stream a row. A null payload gives a null stream. Other columns, media among them, are left out."""
 
     def make() -> Callable:
         def work(batch) -> Iterator[list]:
@@ -213,7 +289,7 @@ PARSED = "programs map<int,int>, streams map<int,int>, packets long, sync_errors
 def parse(df: DataFrame, id_column: str, media: str = "media") -> DataFrame:
     """(id, media binary) to the tables, faults, access units with times, and reassembled payload of each row's stream.
 
-    Null or empty media: empty tables, no units, an empty payload. Rows come out as often as they came in.
+    Null or empty media: empty tables, no units, an empty payload. Rows come out as often as they came in. Other columns are left out.
     """
 
     def make() -> Callable:
@@ -237,6 +313,7 @@ def parse(df: DataFrame, id_column: str, media: str = "media") -> DataFrame:
 
 
 def op1_mpeg_transport_streams(spark, sf_dir: str) -> DataFrame:
+    """A row for each document, null texts as empty ones; units: time stamp, random access and bytes of each access unit."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", padded("text").alias("payload"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
     media = store(docs.select(F.struct("doc_id", "n").alias("row"), "payload"), "row", "payload")
     media = media.select(F.struct("row.doc_id", "row.n", F.octet_length("media").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256")).alias("row"), "media")
@@ -250,5 +327,5 @@ def op1_mpeg_transport_streams(spark, sf_dir: str) -> DataFrame:
     )
     return parse(media, "row").select(
         "row.doc_id", F.col("row.n").cast("long").alias("n_bytes"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
-        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"), F.col("row.media_bytes").cast("long").alias("media_bytes"), "row.media_sha256", feature.alias("feature"),
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"), F.col("row.media_bytes").cast("long").alias("media_bytes"), "row.media_sha256", feature.alias("feature"), F.transform("units", lambda u: F.struct(u["pts"].alias("pts"), u["random_access"].alias("random_access"), u["bytes"].alias("bytes"))).alias("units"),
     )

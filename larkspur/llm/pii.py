@@ -29,7 +29,7 @@ FILTER_WORDS = 1 << 17  # 64-bit words of the filter that spares terms outside i
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
@@ -244,7 +244,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
 
 #: What stands for a span in a sanitised text.
-INSTEAD = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
+INSTEAD = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "remove": ""}
+
+
+def generalised(term: str) -> str:
+    """The kind of word that a term is, as far as its letters tell: an abbreviation, a name, or a word."""
+    return "[ABBREVIATION]" if len(term) > 1 and term.isupper() else "[NAME]" if term[:1].isupper() else "[WORD]"
 
 
 def redacted(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
@@ -254,20 +259,21 @@ def redacted(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     out, done = [], 0
     for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2])):
         if start >= done:
-            out += [text[done:start], INSTEAD[kind]]
+            out += [text[done:start], generalised(text[start:end]) if kind == "generalise" else INSTEAD[kind]]
         done = max(done, end)
     return "".join([*out, text[done:]])
 
 
-def redact(docs: DataFrame, null_ids: bool = False) -> DataFrame:
-    """docs (doc_id, text and any other columns) with the spans of sanitise() replaced in text. Every row stays; null and empty texts as they are.
+def redact(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text and any other columns) with the spans of sanitise() replaced in text.
 
-    Rows with a null doc_id are redacted with null_ids only; without, their texts stay as they are.
+    Every row stays, repeated ones and those with a null doc_id too; null and empty texts stay as they are. Other columns keep
+    their values, whatever their names. An empty table gives an empty one.
     """
     found = sanitise(docs.select("doc_id", "text")).where("size(spans) > 0")
-    found = (found if null_ids else found.where("doc_id is not null")).select(F.col("doc_id").alias("_larkspur_id"), F.col("text_hash").alias("_larkspur_hash2"), F.col("spans").alias("_larkspur_spans")).dropDuplicates(["_larkspur_id", "_larkspur_hash2"])
+    found = found.select(F.col("doc_id").alias("_larkspur_id"), F.col("text_hash").alias("_larkspur_hash2"), F.col("spans").alias("_larkspur_spans")).dropDuplicates(["_larkspur_id", "_larkspur_hash2"])
     same = F.col("doc_id").eqNullSafe(F.col("_larkspur_id")) & (F.col("_larkspur_hash") == F.col("_larkspur_hash2"))
-    joined = docs.withColumn("_larkspur_hash", F.xxhash64("text")).join(found, same, "left").select(*docs.columns, "_larkspur_spans")
+    joined = docs.withColumn("_larkspur_hash", F.xxhash64("text")).join(found, same, "left").select(*(F.col(f"`{c}`") for c in docs.columns), "_larkspur_spans")
     text = docs.columns.index("text")
 
     def make() -> Callable:
@@ -289,10 +295,10 @@ def _joined(spans: str) -> F.Column:
 
 
 def op6_pii(spark, sf_dir: str) -> DataFrame:
-    """Of documents without a pattern's match, the terms to sanitise are in `elsewhere`, of all others in `spans` with the matches."""
+    """One row for each document, repeated ones and null texts too: the numbers and the digest of the patterns' spans, and all spans."""
     found = sanitise(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
     def count(kind: str) -> F.Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined("base"), 256).alias("base_sha256"), F.when(F.size("base") > 0, _joined("spans")).otherwise("").alias("spans"), F.when(F.size("base") == 0, _joined("spans")).otherwise("").alias("elsewhere"))
+    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))

@@ -20,9 +20,7 @@ from pyspark.sql import functions as F
 from .common import map_rows, need, written
 
 SAMPLE = 8_000  # labelled texts to learn from at most, those of smallest hashed id
-FEATURES = 1_024  # features to keep at most, those of largest |z|
-LEAST_TEXTS, LEAST_Z = 5, 4.0
-SWAPS = 3  # counterfactuals of a text at most
+LEAST_TEXTS, LEAST_Z = 5, 4.0  # a feature is kept where so many labelled texts have it, and labels differ on it so much
 PENALTY, RIDGE, LASSO, STEPS = 4.0, 1e-4, 2e-4, 300
 CACHE = 400_000
 PREFIXES = (3, 4, 5)
@@ -68,10 +66,10 @@ def text_features(words: set[str]) -> list[str]:
     return sorted({f for w in words for f in features_of(w)})
 
 
-def counterfactuals(words: set[str], most: int = SWAPS) -> list[set[str]]:
-    """The words with one group's name replaced by that of another group, for each name and up to `most` others."""
-    parts = {p: w for w in words for p in _PARTS.findall(w) if p in GROUPS}
-    return [words - {w} | {w.replace(p, q)} for p, w in sorted(parts.items()) for q in GROUPS[p][:most]]
+def counterfactuals(words: set[str]) -> list[set[str]]:
+    """The words with one group's name replaced by that of another group, for each word with such a name and each other group of its line."""
+    named = sorted((p, w) for w in words for p in set(_PARTS.findall(w)) if p in GROUPS)
+    return [words - {w} | {w.replace(p, q)} for p, w in named for q in GROUPS[p]]
 
 
 @dataclass
@@ -88,53 +86,64 @@ class Model:
         return 1 / (1 + exp(-max(-500.0, min(500.0, self.logit(words_of(text))))))
 
 
-def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray]], vocabulary: list[str], penalty: float = PENALTY) -> Model:
-    """Labels and texts, and texts beside what a swap makes of them, all as places in the vocabulary, to a model, by proximal gradient steps of one length.
+class _Sparse:
+    """Rows of places and values, as one array each, with products by vectors from both sides."""
 
-    Without both labels the score is a constant: the smoothed share of label 1.
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], width: int):
+        self.width, self.height = width, len(rows)
+        self.at = np.concatenate([a for a, _ in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
+        self.values = np.concatenate([v for _, v in rows]).astype(float) if rows else np.zeros(0)
+        self.row = np.repeat(np.arange(len(rows)), [len(a) for a, _ in rows])
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.values * v[self.at], self.height)
+
+    def turned(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.at, self.values * r[self.row], self.width)
+
+
+def fit(labels: np.ndarray, texts: list[np.ndarray], swaps: list[tuple[np.ndarray, np.ndarray, float]], vocabulary: list[str], penalty: float = PENALTY) -> Model:
+    """Labels, texts as places in the vocabulary, and swaps to a model, by proximal gradient steps of one length.
+
+    A swap is a change of features (places, +1 or -1) with how often it occurs among all counterfactuals, so that their number
+    does not matter. Without both labels the score is a constant: the smoothed share of label 1.
     """
-    y = np.asarray(labels, np.float32)
+    y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
         share = (float(y.sum()) + 0.1) / (len(y) + 1.0)
         return Model(log(share / (1 - share)), {})
+    n = len(vocabulary)
+    x, d = _Sparse([(a, np.ones(len(a))) for a in texts], n), _Sparse([(a, v) for a, v, _ in swaps], n)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))  # both labels count alike
+    often = np.array([c for _, _, c in swaps], float)
+    pull = 2 * penalty * often / often.sum() if len(often) else often
 
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        m = np.zeros((len(rows), len(vocabulary)), np.float32)
-        for i, at in enumerate(rows):
-            m[i, at] = 1
-        return m
-
-    pairs = [(a, b) for a, b in pairs if not np.array_equal(a, b)]
-    x, d = matrix(texts), matrix([a for a, _ in pairs]) - matrix([b for _, b in pairs])
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum())).astype(np.float32)  # both labels count alike
-    pull = np.float32(2 * penalty / len(d)) if len(d) else np.float32(0)
-
-    def curvature(of: Callable, n: int) -> float:
+    def curvature(of: Callable, size: int) -> float:
         """The largest eigenvalue, by power iteration."""
-        u, size = np.ones(n, np.float32), 0.0
+        u, found = np.ones(size), 0.0
         for _ in range(30):
             u = of(u)
-            size = float(np.linalg.norm(u))
-            if not size:
+            found = float(np.linalg.norm(u))
+            if not found:
                 break
-            u /= size
-        return size
+            u /= found
+        return found
 
     def quadratic(u: np.ndarray) -> np.ndarray:
-        r = weight / 4 * (x @ u[:-1] + u[-1])
-        return np.append(x.T @ r, r.sum())
+        r = weight / 4 * (x.times(u[:-1]) + u[-1])
+        return np.append(x.turned(r), r.sum())
+
+    def swapped(u: np.ndarray) -> np.ndarray:
+        return d.turned(pull * d.times(u))
 
-    step = np.float32(1 / (1.05 * (curvature(quadratic, len(vocabulary) + 1) + (curvature(lambda u: pull * (d.T @ (d @ u)), len(vocabulary)) if len(d) else 0)) + RIDGE))
-    w, b, v, c, k = np.zeros(len(vocabulary), np.float32), 0.0, np.zeros(len(vocabulary), np.float32), 0.0, 1.0
+    step = 1 / (1.05 * (curvature(quadratic, n + 1) + curvature(swapped, n)) + RIDGE)
+    w, b, v, c, k = np.zeros(n), 0.0, np.zeros(n), 0.0, 1.0
     for _ in range(STEPS):
-        r = weight * (1 / (1 + np.exp(-np.clip(x @ v + np.float32(c), -50, 50))) - y)
-        g = x.T @ r + np.float32(RIDGE) * v
-        if len(d):
-            g += pull * (d.T @ (d @ v))
-        w2, b2 = v - step * g, c - float(step) * float(r.sum())
-        w2 = np.sign(w2) * np.maximum(np.abs(w2) - step * np.float32(LASSO), 0)
+        r = weight * (1 / (1 + np.exp(-np.clip(x.times(v) + c, -50, 50))) - y)
+        w2, b2 = v - step * (x.turned(r) + RIDGE * v + swapped(v)), c - step * float(r.sum())
+        w2 = np.sign(w2) * np.maximum(np.abs(w2) - step * LASSO, 0)
         k2 = (1 + (1 + 4 * k * k) ** 0.5) / 2
-        v, c = w2 + np.float32((k - 1) / k2) * (w2 - w), b2 + (k - 1) / k2 * (b2 - b)
+        v, c = w2 + (k - 1) / k2 * (w2 - w), b2 + (k - 1) / k2 * (b2 - b)
         w, b, k = w2, b2, k2
     return Model(float(b), {f: float(z) for f, z in zip(vocabulary, w, strict=True) if z})
 
@@ -142,7 +151,9 @@ def fit(labels: np.ndarray, texts: list[np.ndarray], pairs: list[tuple[np.ndarra
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: float = PENALTY) -> Model:
     """docs (doc_id, text) and labels (doc_id, toxic 0 or 1) to a model, from up to `sample` labelled texts outside the held-out fold.
 
-    Labels other than 0 and 1, and null ids, are left out; of texts that occur again one counts.
+    Labels other than 0 and 1, and null ids, are left out; of texts that occur again one counts, and a null one has no words.
+    Features, few of which pass LEAST_TEXTS and LEAST_Z, are not cut further. Each other group of a name's line makes a
+    counterfactual; equal changes count together, so that the driver holds a row for each text and each pair of names at most.
     """
     labels = need(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(~held_out())
     chosen = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -161,23 +172,29 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, penalty: flo
     share = (F.col("a") + F.col("b")) / F.lit(float(max(n, 1)))
     z = (F.col("a") / max(p, 1) - F.col("b") / max(n - p, 1)) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / max(p, 1) + 1 / max(n - p, 1)))
     counts = seen.select(F.explode("has").alias("f"), "toxic").groupBy("f").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-    kept = counts.where(F.col("a") + F.col("b") >= LEAST_TEXTS).withColumn("z", z).where(F.abs("z") >= LEAST_Z).orderBy(F.desc(F.abs("z")), "f").limit(FEATURES)
+    kept = counts.where(F.col("a") + F.col("b") >= LEAST_TEXTS).withColumn("z", z).where(F.abs("z") >= LEAST_Z)
     names = {f for g in GROUPS for f in features_of(g)}
     vocabulary = sorted({r["f"] for r in kept.select("f").collect()} | {r["f"] for r in counts.where(F.col("f").isin(sorted(names))).select("f").collect()})
 
     def cut() -> Callable:
         at = {f: k for k, f in enumerate(vocabulary)}
 
+        def change(has: set[str], other: set[str]) -> list[int]:
+            """Places of what a swap adds, and beyond the vocabulary those of what it takes away."""
+            return sorted([at[f] for f in other - has if f in at] + [at[f] + len(at) for f in has - other if f in at])
+
         def work(batch) -> Iterator[list]:
             rows = batch.to_pylist()
-            yield [batch.column(0), batch.column(1), [[at[f] for f in r["has"] if f in at] for r in rows], [[[at[f] for f in s if f in at] for s in r["swapped"]] for r in rows]]
+            swaps = [[change(set(r["has"]), set(s)) for s in r["swapped"]] for r in rows]
+            yield [batch.column(0), batch.column(1), [[at[f] for f in r["has"] if f in at] for r in rows], [[s for s in found if s] for found in swaps]]
 
         return work
 
-    rows = map_rows(seen, cut, "doc_id long, toxic int, has array<int>, swapped array<array<int>>").toArrow().sort_by("doc_id")  # `sample` rows of FEATURES places at most
-    has = [np.asarray(x.values) for x in rows.column("has")]
-    pairs = [(has[i], np.asarray(s, np.int32)) for i, x in enumerate(rows.column("swapped")) for s in x.as_py()]
-    return fit(rows.column("toxic").to_numpy(), has, pairs, vocabulary, penalty)
+    rows = map_rows(seen, cut, "doc_id long, toxic int, has array<int>, swaps array<array<int>>")
+    changes = rows.select(F.explode("swaps").alias("change")).groupBy("change").agg(F.count("*").alias("n")).orderBy("change").collect()
+    swaps = [(np.array(r["change"]) % len(vocabulary), np.where(np.array(r["change"]) < len(vocabulary), 1.0, -1.0), r["n"]) for r in changes]
+    table = rows.drop("swaps").toArrow().sort_by("doc_id")  # `sample` rows at most
+    return fit(table.column("toxic").to_numpy(), [np.asarray(x.values) for x in table.column("has")], swaps, vocabulary, penalty)
 
 
 def held_out() -> F.Column:
@@ -225,7 +242,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text", row: tuple[str, ..
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """docs (text and any other columns) less the rows that score threshold or more. Rows stay as they are, in one pass."""
+    """docs (text and any other columns) less the rows that score threshold or more. Rows stay as they are, in one pass.
+
+    Null and empty texts have the score of no words; repeated rows and those with a null id are judged like any other; columns of
+    any name, a score among them, stay. An empty table gives an empty one.
+    """
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     text = docs.columns.index("text")
 

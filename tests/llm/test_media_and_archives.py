@@ -38,6 +38,32 @@ def test_ts_damage():
         mpegts.demux(stream[: random.randrange(len(stream))])
 
 
+def test_ts_tables_over_packets():
+    """A program map of 60 streams takes two packets; a second section starts in the packet that ends the first."""
+    streams = {0x200 + k: 6 for k in range(60)}
+    entries = b"".join(b"\x06" + (0xE000 | p).to_bytes(2, "big") + b"\xf0\x00" for p in streams)
+    pmt = mpegts._section(2, 1, (0xE000 | mpegts.ES_PID).to_bytes(2, "big") + b"\xf0\x00" + entries)
+    more = mpegts._section(2, 1, (0xE000 | 0x300).to_bytes(2, "big") + b"\xf0\x00\x1b\xe3\x00\xf0\x00")
+    packet = lambda pid, start, count, body: bytes([0x47, (0x40 if start else 0) | pid >> 8, pid & 255, 0x10 | count]) + body.ljust(184, b"\xff")
+    first, rest = b"\x00" + pmt[:183], pmt[183:]
+    stream = packet(0, True, 0, b"\x00" + mpegts.PAT) + packet(mpegts.PMT_PID, True, 0, first) + packet(mpegts.PMT_PID, True, 1, bytes([len(rest)]) + rest + more)
+    s = mpegts.demux(stream)
+    assert s.streams == streams | {0x300: 0x1B} and s.crc_errors == s.cc_errors == 0
+    cut = mpegts.demux(stream[:376] + packet(mpegts.PMT_PID, True, 1, b"\x00" + more))
+    assert cut.streams == {0x300: 0x1B} and cut.crc_errors == 1
+
+
+def test_ts_resynchronises():
+    payload = bytes(range(256)) * 40
+    stream = mpegts.mux(payload)
+    for junk in (b"\x00", b"x" * 100, b"x" * 187, b"x" * 188 + b"yz"):
+        s = mpegts.demux(junk + stream)
+        assert s.sync_errors >= 1 and s.payload() == payload and not s.cc_errors
+    assert mpegts.demux(b"\x47" + stream).payload() == payload[mpegts.RAP_EVERY * mpegts.UNIT :]  # a byte that looks like a start costs a packet, here the first table
+    middle = mpegts.demux(stream[: 188 * 5] + b"junk" + stream[188 * 5 :])
+    assert middle.sync_errors == 1 and middle.payload() == payload
+
+
 def test_stamps():
     for t in (0, 1, 2**15, 2**30 + 12345, 2**33 - 1):
         assert mpegts._ticks(mpegts._stamp(2, t)) == t
@@ -57,6 +83,8 @@ def test_op1(spark, tmp_path):
         r = found[i]
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
         assert (r["media_bytes"], r["media_sha256"]) == (len(m := mpegts.mux(padded)), hashlib.sha256(m).hexdigest()) and "faults=0" in r["feature"]
+        units = mpegts.demux(m).units
+        assert [tuple(u) for u in r["units"]] == [(u.pts, u.random_access, len(u.data)) for u in units] and r["units"][0]["random_access"]
     assert found[0][1:] == found[1][1:] and found[2][1:] == found[7][1:]
     assert mpegts.op1_mpeg_transport_streams(spark, documents(spark, tmp_path / "e", [])).count() == 0
 
@@ -70,7 +98,8 @@ def test_arc_lines():
         (h, b), (h2, _) = (next(arc.read_warc(arc.convert("v", r))) for r in plain)
         assert (h["warc-type"], b, h["warc-date"]) == ("response", block, "2020-01-01T00:00:00Z") and (h2["warc-type"], h2["warc-date"], h2["content-type"]) == ("resource", "2001-01-01T00:00:00Z", "text/dns")
         assert h["warc-payload-digest"] == "sha1:" + b32encode(hashlib.sha1(block.partition(b"\r\n\r\n")[2]).digest()).decode()
-    assert [r.url for r in arc.read_arc(data + b"u 0 0 t 999\nshort")] == ["http://a%20b/", "dns:x"]
+    faults = []
+    assert [r.url for r in arc.read_arc(data + b"u 0 0 t m 0\n" + b"u 0 0 t 999\nshort", faults)] == ["http://a%20b/", "dns:x"] and len(faults) == 2
     assert list(arc.read_arc(b"")) == list(arc.read_warc(b"junk")) == []
 
 
@@ -91,6 +120,8 @@ def test_op2(spark, tmp_path):
     assert [r["refers_to"] for r in rows if r["page_id"] == 8] == [3, 3] and all(r["block_ok"] for r in rows)
     empty = spark.createDataFrame([], "page_id long, url string, html string, volume int")
     assert arc.read_volumes(arc.archive(empty)).count() == 0
+    clash = spark.createDataFrame([(1, "u", "z", "a", 5, "b")], "page_id long, url string, html string, `data` string, id int, `a.b` string")
+    assert [(r["id"], r["payload_bytes"]) for r in arc.read_volumes(arc.archive(clash)).collect()] == [(1, 1)]
     nulls = spark.createDataFrame([(None, None, "z"), (None, None, "z")], "page_id long, url string, html string")
     assert [(r["id"], r["record_type"]) for r in arc.read_volumes(arc.archive(nulls)).collect()] == [(None, "response")] * 2
 

@@ -40,12 +40,12 @@ def test_told_terms_go_everywhere(spark):
     assert not any("xylograph" in t.lower().replace("xylographs", "") for t in clean.values())
 
 
-def test_op6_elsewhere(spark, tmp_path):
+def test_op6_all_spans(spark, tmp_path):
+    """Spans of documents with and without a pattern's match."""
     rows = [(0, "the xylograph maker one@mail.example.org is here"), (1, "a xylograph")] + [(i, f"the common maker is here {i}") for i in range(2, 300)]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    found = {r["doc_id"]: r for r in pii.op6_pii(spark, str(tmp_path)).collect()}
-    assert found[0]["spans"] == "generalise:4:13,email:20:40" and found[0]["elsewhere"] == ""
-    assert found[1]["spans"] == "" and found[1]["elsewhere"] == "generalise:2:11" and found[2]["elsewhere"] == ""
+    found = {r["doc_id"]: r["spans"] for r in pii.op6_pii(spark, str(tmp_path)).collect()}
+    assert found[0] == "generalise:4:13,email:20:40" and found[1] == "generalise:2:11" and found[2] == ""
 
 
 def test_pipeline_redacts_null_ids(spark):
