@@ -41,7 +41,8 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterat
             for columns in last():
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return df.mapInArrow(run, kinds)
+    plain = [c if c.isidentifier() else f"_larkspur_{k}" for k, c in enumerate(df.columns)]  # mapInArrow looks columns up by name, and a dot parts names
+    return (df if plain == df.columns else df.toDF(*plain)).mapInArrow(run, kinds)
 
 
 def need(df: DataFrame, *columns: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Best-fit packing of documents' tokens into sequences of one capacity, by a configuration linear program.
 
 A configuration is a multiset of lengths that fits one sequence. Only the histogram of lengths enters the program: least
-number of sequences so that the chosen configurations cover every length. It is solved by multiplicative weights: lengths
-still short of their count weigh more, a knapsack dynamic program prices the best configuration under the weights, and the
-average of the configurations found is a fractional solution. Its whole parts are taken, and what is left, as much as a
-constant number of sequences holds whatever the input, is filled by best fit. Pieces then find their place by their rank among those of their length.
+number of sequences so that the chosen configurations cover every length. It is solved by multiplicative weights: the weight of
+a length, by which its tokens are priced, falls with the share of its count that is covered, a knapsack dynamic program finds the
+best configurations under these prices, and each is taken as often as raises the share of one of its lengths by a fixed step.
+Prices over the value of the best configuration are a solution of the dual program, so that each round also bounds from below how
+many sequences there have to be. The fractional solution's whole parts are taken, and what is left, as much as a constant number of
+sequences holds whatever the input, is filled by best fit. Pieces then find their place by their rank among those of their length.
 """
 
 from __future__ import annotations
@@ -101,8 +103,8 @@ def best_configurations(lengths: np.ndarray, values: np.ndarray, capacity: int,
     return list(out.values())
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, share: float = SHARE, eta: float = ETA) -> list[tuple[dict[int, int], float]]:
-    """Configurations with their fractional number, that cover the histogram exactly.
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, share: float = SHARE, eta: float = ETA, bounds: list[float] | None = None) -> list[tuple[dict[int, int], float]]:
+    """Configurations with their fractional number, that cover the histogram exactly; bounds gets each round's lower bound.
 
     Weights fall exponentially with the share of a length's count that is covered. A configuration is taken as often as
     raises the share of one of its lengths by `share`, and of none beyond 1; so len(histogram) / share are taken at most,
@@ -114,7 +116,11 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, share: float = SH
     while len(lengths):
         covered = np.array([1 - left[n] / histogram[n] for n in lengths.tolist()])
         values = np.exp(-(covered - covered.min()) / eta) * lengths / capacity
-        for took in best_configurations(lengths, values, capacity):
+        best = best_configurations(lengths, values, capacity)
+        if bounds is not None:
+            price = dict(zip(lengths.tolist(), values.tolist(), strict=True))
+            bounds.append(sum(histogram[n] * y for n, y in price.items()) / sum(c * price[n] for n, c in best[0].items()))
+        for took in best:
             often = min(min(share * histogram[n], left[n]) / c for n, c in took.items())
             if often <= 0:
                 continue
@@ -125,6 +131,13 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, share: float = SH
     return [(dict(c), x) for c, x in found.items()]
 
 
+def lower_bound(histogram: dict[int, int], capacity: int = CAPACITY) -> float:
+    """What no packing of these lengths, fractional ones included, can be below, from the prices of all rounds."""
+    short, bounds = {n: c for n, c in histogram.items() if n < capacity}, [0.0]
+    solve(short, capacity, bounds=bounds)
+    return max(bounds) + histogram.get(capacity, 0)
+
+
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     """Lengths into sequences, longest first, each into the one with the least room that it fits."""
     rooms: list[tuple[int, int]] = []
@@ -217,7 +230,10 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER) -> DataFrame:
-    """docs (doc_id, text) to pieces of tokens with their places. Other columns do not matter; an empty table gives an empty one."""
+    """docs (doc_id, text) to pieces of tokens with their places. Null and empty texts are the end id alone.
+
+    Rows are packed as often as they occur, those with a null id too. Other columns do not matter; an empty table gives an empty one.
+    """
     return pack(written(pieces(docs, capacity, name), "pieces"), capacity)
 
 

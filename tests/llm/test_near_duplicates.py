@@ -240,3 +240,18 @@ def test_line_edges(spark):
     found = sorted(str((r["doc_id"], r["text"])) for r in linededup.dedup_lines(df).collect())
     assert found == sorted(map(str, [(None, line), (1, line), (1, line), (2, "x")]))
     assert linededup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_op3_query(spark, tmp_path):
+    """The query's columns by hand, with nulls and repeated rows, on a table with further columns."""
+    rows = [*texts(40, 12), "", None, "same words here"]
+    frame(spark, rows).union(frame(spark, rows).where("doc_id = 3")).withColumn("component_id", F.lit("x")).write.parquet(f"{tmp_path}/documents.parquet")
+    prints = [slow_fingerprint(t) for t in rows]
+    want = groups(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2])
+    found = simhash.op3_simhash_near_dedup(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["fingerprint"], r["component_id"]) for r in found) == sorted([(i, f"{p:016x}", want[i]) for i, p in enumerate(prints)] + [(3, f"{prints[3]:016x}", want[3])])
+
+
+def test_fingerprints_without_ids(spark):
+    df = spark.createDataFrame([(None, "x y z"), (None, "x y z"), (5, "p q r s")], "doc_id long, text string")
+    assert sorted(str((r["doc_id"], r["component_id"])) for r in simhash.near_duplicates(df).collect()) == ["(5, 5)", "(None, None)", "(None, None)"]

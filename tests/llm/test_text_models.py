@@ -56,12 +56,18 @@ def test_penalty_removes_group_weight(spark):
 
 def test_fewer_false_positives(spark, tmp_path):
     """Neutral mentions of a group that the labelled toxic texts often name: fewer of them count as toxic than without the penalty."""
-    docs, labels = labelled(spark, 600)
-    neutral = spark.createDataFrame([(10_000 + i, f"muslims word{i % 90} word{i * 3 % 90} word{i * 5 % 90}") for i in range(100)], docs.schema)
-    both = docs.union(neutral)
+    rng, insults = np.random.default_rng(7), "idiot scum moron fool trash vermin liar clown pest brute swine thug".split()
+    words = lambda n: [f"word{k}" for k in rng.integers(0, 90, n)]
+    rows, marks = [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        rows.append((i, " ".join(words(12) + (["muslims", insults[i // 4 % 12]] if toxic else ["muslims"] if i % 300 == 1 else []))))
+        marks.append((i, 1, int(toxic)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    neutral = spark.createDataFrame([(10_000 + i, " ".join(["muslims", *words(5)])) for i in range(100)], docs.schema)
     wrong = {}
     for penalty in (toxicity.PENALTY, 0.0):
-        model = toxicity.train(both, labels, penalty=penalty)
+        model = toxicity.train(docs, labels, penalty=penalty)
         wrong[penalty] = toxicity.scored(neutral, model).where("score >= 0.5").count()
         caught = toxicity.scored(docs, model).join(labels.where("toxic = 1"), "doc_id").where("score >= 0.5").count()
         assert caught >= 0.95 * labels.where("toxic = 1").count()
@@ -147,14 +153,14 @@ def test_added_spans_brute_force(spark):
     for t in rows:
         counts.update({x for w in t.lower().split() for x in term.findall(w)})
     for i, (t, b) in enumerate(zip(rows, base, strict=True)):
-        pairs = set()
+        pairs, spaces = set(), [k for k, c in enumerate(t) if c == " "]
         for kind, s, e in b:
             name = (kind, t[s:e].lower() if kind == "email" else t[s:e] if kind == "ip" else re.sub("[^0-9]", "", t[s:e]))
-            left = t[:s].rsplit(" ", pii.WINDOW)[1:] if t[:s].count(" ") >= pii.WINDOW else [t[:s]]
-            first = s - len(" ".join(left)) if s else 0
-            right = t[e:].split(" ")
-            last = e + len(" ".join(right[: pii.WINDOW + 1]))
-            pairs |= {(name, m[0].lower()) for m in outside[i] if first <= m.start() and m.end() <= s or e <= m.start() and m.end() <= last}
+            before, after = [k for k in spaces if k < s - 1], [k for k in spaces if k > e]
+            first = before[-pii.WINDOW] + 1 if len(before) >= pii.WINDOW else 0
+            last = after[pii.WINDOW] if len(after) > pii.WINDOW else len(t)
+            near = [(first + m.start(), first + m.end(), m[0]) for m in term.finditer(t[first:s])] + [(e + m.start(), e + m.end(), m[0]) for m in term.finditer(t[e:last])]
+            pairs |= {(name, w.lower()) for x, y, w in near if not any(p < y and x < q for _, p, q in b)}
         for name in {n for n, _ in pairs}:
             entities.setdefault(name, set()).add(i)
         together.update(pairs)
@@ -227,6 +233,7 @@ def test_plan(histogram):
             held[n] += c * times
     assert held == Counter(histogram)
     pieces = [n for n, c in histogram.items() for _ in range(c)]
+    assert sum(n * c for n, c in histogram.items()) / 40 - 1e-6 <= packing.lower_bound(histogram, 40) <= sum(t for _, t in found) + 1e-6
     assert sum(t for _, t in found) <= 1.1 * len(packing.best_fit(pieces, 40)) + 1
 
 
@@ -400,3 +407,18 @@ def test_deep_pages_and_table(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("old"))
     found = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in htmltext.main_text(pages).collect())
     assert found == [("1", "a", 1), ("1", "a", 1), ("None", "", 0)] and htmltext.main_text(pages.limit(0)).count() == 0
+
+
+def test_op9_query(spark, tmp_path):
+    rows = [(1, "u", "<article><p>a &amp; b</p></article>", "x"), (2, None, None, "y"), (2, None, None, "y")]
+    spark.createDataFrame(rows, "page_id long, url string, html string, text string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = htmltext.op9_html_extraction(spark, str(tmp_path))
+    assert found.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    assert sorted(map(tuple, found.collect())) == [(1, "u", "a & b", 5), (2, None, "", 0), (2, None, "", 0)]
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x", "y"), (1, "a b", 5, "x", "y")], "doc_id long, text string, ids int, `a.b` string, bytes string")
+    assert [(r["doc_id"], len(r["ids"]), bytes(r["bytes"])) for r in bpe.decode(bpe.encode(docs)).collect()] == [(1, 2, b"a b")] * 2
+    packed = packing.pack_documents(docs).collect()
+    assert [r["length"] for r in packed] == [3, 3] and len({(r["sequence_id"], r["offset"]) for r in packed}) == 2

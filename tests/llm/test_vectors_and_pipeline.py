@@ -119,3 +119,35 @@ def test_scored_keeps_columns(spark):
     docs = spark.createDataFrame([(1, "a", "x")], "doc_id long, text string, score string")
     assert toxicity.scored(docs, toxicity.Model(-1.0, {}), row=("doc_id",)).columns == ["doc_id", "score"]
     assert docs.select(F.lit(1)).count() == 1
+
+
+def test_stage_edges(spark, tmp_path):
+    """Each stage on an empty table, on null ids and texts, repeated rows, and columns whose names operators use themselves."""
+    documents(spark, str(tmp_path))
+    rows = [(None, "a@b.cd is here", "x", 1, 2.0, "q"), (7, "one two three four five six", "x", 1, 2.0, "q"), (7, "one two three four five six", "x", 1, 2.0, "q"), (8, None, None, None, None, None), (9, "", "y", 0, 0.0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, h int, score double, spans string").withColumn("n_chars", F.length("text").cast("long"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns and stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        found = sorted((str(r["doc_id"]), str(r["text"]), str(r["a.b"]), str(r["spans"])) for r in got.collect())
+        want = [(str(i), str(t), str(a), str(s)) for i, t, a, _, _, s in rows]
+        if name == "SimHash near-dedup":
+            want = [w for w in want if w[0] != "9"]  # no words, as 8
+        if name == "PII":
+            want = [("None", "[EMAIL] is here", "x", "q") if w[0] == "None" else w for w in want]
+        assert found == sorted(want), name
+    last = corpus_pipeline.STAGES[4][1]
+    assert last(spark, docs.limit(0), str(tmp_path)).count() == 0
+    pieces = last(spark, docs, str(tmp_path)).collect()
+    assert len(pieces) == 5 and sorted(r["length"] for r in pieces)[:2] == [1, 1]
+
+
+def test_op7_query(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(50, 8)).astype("f4").astype(float)
+    frame(spark, x).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = ann.op7_nearest_neighbours(spark, str(tmp_path))
+    assert found.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "double")]
+    got, want = lists(found), brute(x, range(50), 20, 20)
+    assert set(got) == set(want) and all([r["rank"] for r in found.where(f"query_id = {q}").orderBy("rank").collect()] == list(range(1, len(got[q]) + 1)) for q in got)
+    assert np.mean([len({j for _, j in got[q]} & {j for _, j in want[q]}) / 20 for q in want]) >= 0.9
