@@ -1 +1 @@
-"""Catalog curation and data processing on Spark DataFrames."""
+"""Curation of application listings and data processing on Spark DataFrames."""

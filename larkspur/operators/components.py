@@ -38,7 +38,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Only vertices with an edge to another one come out; loops and rows with a null are ignored; repeated pairs count once.
     The number of rounds grows with the logarithm of a component's diameter; beyond `rounds` it raises.
     """
-    now, seen = _step(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now, seen = _step(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
     for _ in range(rounds):
         if not seen[0]:
             break

@@ -1,4 +1,4 @@
-"""From sources to a published catalog."""
+"""From packages to apps."""
 
 from __future__ import annotations
 
@@ -28,7 +28,7 @@ class Overrides:
         return cls(keep, exclude, *load_match_overrides(spark, f"{folder}/manual-matches.ndjson", f"{folder}/deny-matches.ndjson"))
 
 
-def build_catalog(packages: DataFrame, overrides: Overrides | None = None, members: bool = True) -> DataFrame:
+def build_apps(packages: DataFrame, overrides: Overrides | None = None, members: bool = True) -> DataFrame:
     """packages to apps, one for each group, in the order of label: filter, group, enrich. members: with the packages of each."""
     o = overrides or Overrides()
     return enrich(labelled(filter_packages(packages, o.keep, o.exclude), o.manual, o.deny), members)

@@ -1,11 +1,11 @@
-"""The catalog queries by name, and the DuckDB text of each that SQL can express."""
+"""The queries by name, and the DuckDB text of each that SQL can express."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -16,10 +16,10 @@ from ..operators.filtering import filter_packages
 from ..schema import APPS
 from ..sinks import store
 from ..sources import archdesc, deb822, jsonfeeds, xmlfeeds
-from ..sources.ndjson import read_ndjson, write_ndjson
+from ..sources.ndjson import PLACE_BITS, load_filter_overrides, load_match_overrides, move, read_metadata, read_ndjson, read_ordered, write_metadata, write_ndjson
 from ..tables import shared_dir
 from . import adapters as A
-from .catalog import build_catalog
+from .curation import build_apps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,13 +165,16 @@ def description_fallback(spark, d):
     return A.docs(spark, d).groupBy(F.concat("source", F.substring("appId", 1, 2)).alias("bucket")).agg(E.pick_description().alias("description"))
 
 
-CATALOG = f"{LABELLED}, apps AS (SELECT label, arg_min(key, ordinal) AS id, arg_min(name, {PRIORITY}) AS name, coalesce(arg_min(description, {PRIORITY}) FILTER (WHERE description <> ''), '') AS shortDescription, arg_min(coalesce(homepage, '-'), {PRIORITY}) AS home, count(*) AS n_packages FROM m GROUP BY label)"
-KEPT = CATALOG.replace("pkgs_docs AS (SELECT", "all_docs AS (SELECT", 1).replace(", links AS", f", pkgs_docs AS (SELECT * FROM all_docs WHERE NOT {A.SUPPORT}), links AS", 1)
+#: A package's JSON: its fields in order, without those that are null.
+PACKAGES = """'[' || string_agg('{"source":' || to_json(source) || ',"name":' || to_json(name) || coalesce(',"description":' || to_json(description), '') || ',"version":"1"'
+  || coalesce(',"appId":' || to_json(appId), '') || coalesce(',"homepage":' || to_json(homepage), '') || '}', ',' ORDER BY ordinal) || ']'"""
+CURATED = f"{LABELLED}, apps AS (SELECT label, arg_min(key, ordinal) AS id, arg_min(name, {PRIORITY}) AS name, coalesce(arg_min(description, {PRIORITY}) FILTER (WHERE description <> ''), '') AS shortDescription, arg_min(coalesce(homepage, '-'), {PRIORITY}) AS home, count(*) AS n_packages, {PACKAGES} AS packages FROM m GROUP BY label)"
+KEPT = CURATED.replace("pkgs_docs AS (SELECT", "all_docs AS (SELECT", 1).replace(", links AS", f", pkgs_docs AS (SELECT * FROM all_docs WHERE NOT {A.SUPPORT}), links AS", 1)
 
 
-@query(f"{KEPT} SELECT label, id, name, shortDescription, nullif(home, '-') AS homepage, n_packages FROM apps")
-def enrich_catalog(spark, d):
-    return build_catalog(A.docs(spark, d), members=False)
+@query(f"{KEPT} SELECT label, id, name, shortDescription, nullif(home, '-') AS homepage, n_packages, packages FROM apps")
+def enrich_apps(spark, d):
+    return build_apps(A.docs(spark, d)).withColumn("packages", F.to_json("packages"))
 
 
 @query("SELECT p_partkey, n_nationkey, CAST(levenshtein(lower(p_name), lower(n_name)) AS INT) AS distance FROM part JOIN nation ON p_partkey % 25 = n_nationkey")
@@ -315,28 +318,103 @@ def repomd_location(spark, d):
     return A.table(spark, d, "region").select("r_regionkey", xml.alias("repomd"), xmlfeeds.primary_location(xml).alias("location"))
 
 
-FILLED = {"id": "id", "name": "name", "short_description": "shortDescription", "homepage": "nullif(home, '-')"}
+FILLED = {"id": "id", "name": "name", "short_description": "shortDescription", "homepage": "nullif(home, '-')", "packages_json": "packages"}
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "int": "INTEGER"}
+ROWS = ", ".join(f"{FILLED.get(n, 'NULL')}::{TYPES[k]} AS {n}" for n, k, _ in APPS)
 
 
-@query(f"{CATALOG} SELECT {', '.join(f'{FILLED.get(n, "NULL")}::{TYPES[k]} AS {n}' for n, k, _ in APPS if n != 'packages_json')} FROM apps")
+@query(f"{CURATED} SELECT {ROWS} FROM apps")
 def apps_table_rows(spark, d):
-    return store.to_rows(E.enrich(M.labelled(A.docs(spark, d)), False)).drop("packages_json")
-
-
-@query(f"{CATALOG} SELECT 'totalApps' AS key, CAST(count(*) AS VARCHAR) AS value FROM apps UNION ALL SELECT 'generatedAt', 'now' UNION ALL SELECT 'kept', 'yes'")
+    return store.to_rows(E.enrich(M.labelled(A.docs(spark, d))))
+
+
+def _nullable(test: str, value: str) -> str:
+    return f"CASE WHEN {test} THEN {value} END"
+
+
+@query(
+    f"SELECT p_partkey AS id, {_nullable('p_partkey % 3 <> 0', 'CAST(p_partkey % 2 AS INT)')} AS ai_features, {_nullable('p_partkey % 4 <> 0', 'p_size / 10.0')} AS rating_average,"
+    f" {_nullable('p_partkey % 4 <> 0', 'CAST(p_size AS BIGINT)')} AS rating_count, {_nullable('p_partkey % 4 <> 0', 'p_type')} AS age_rating_value,"
+    " CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN '[]' ELSE '[' || to_json(p_name) || ',' || to_json(p_brand) || ']' END AS languages_json,"
+    " '[{\"stars\":' || p_size || ',\"text\":' || to_json(p_name) || '},{\"stars\":1}]' AS reviews_json FROM part"
+)
+def app_columns(spark, d):
+    """Booleans as 1, 0 or null, nested fields, and lists as JSON texts."""
+    k, none = F.col("p_partkey"), F.lit(None)
+    apps = A.table(spark, d, "part").select(
+        k.cast("string").alias("id"),
+        F.when(k % 3 != 0, k % 2 == 1).alias("aiFeatures"),
+        F.when(k % 4 != 0, F.struct((F.col("p_size") / 10.0).alias("average"), F.col("p_size").alias("count"))).alias("rating"),
+        F.when(k % 4 != 0, F.struct(none.cast("string").alias("system"), F.col("p_type").alias("value"))).alias("ageRating"),
+        F.when(k % 5 == 1, F.array().cast("array<string>")).when(k % 5 != 0, F.array("p_name", "p_brand")).alias("languages"),
+        F.array(F.struct(F.col("p_size").alias("stars"), F.col("p_name").alias("text")), F.struct(F.lit(1).alias("stars"), none.cast("string").alias("text"))).alias("reviews"),
+    )
+    return store.to_rows(apps).select(F.col("id").cast("long").alias("id"), "ai_features", "rating_average", "rating_count", "age_rating_value", "languages_json", "reviews_json")
+
+
+@query("SELECT 'nation' AS source, 'now' AS fetchedAt, count(*) AS entryCount, 'main,universe' AS component, 'core,extra' AS repos FROM nation")
+def metadata_round_trip(spark, d):
+    path = f"{shared_dir(spark)}/larkspur/nation-{uuid4().hex}.ndjson"
+    n = A.table(spark, d, "nation").count()
+    write_metadata(spark, path, {"source": "nation", "fetchedAt": "now", "url": path, "entryCount": n, "component": "main,universe", "repos": ["core", "extra"]})
+    found = read_metadata(spark, path)
+    return spark.createDataFrame([(found["source"], found["fetchedAt"], found["entryCount"], found["component"], ",".join(found["repos"]))], "source string, fetchedAt string, entryCount long, component string, repos string")
+
+
+@query(f"WITH {A.PARTS} SELECT DISTINCT 'keep' AS list, source, name FROM pkgs_parts WHERE ordinal % 11 = 0 UNION ALL SELECT DISTINCT 'exclude', source, name FROM pkgs_parts WHERE ordinal % 13 = 0")
+def filter_override_files(spark, d):
+    """Override lists, entries of which occur again, through their files."""
+    at, p = f"{shared_dir(spark)}/larkspur/overrides-{uuid4().hex}", A.parts(spark, d)
+    for name, rows in zip(("keep", "exclude"), _overrides(spark, d), strict=True):
+        write_ndjson(rows.select("source", "name", F.lit("r").alias("reason")).union(rows.select("source", "name", F.lit("again").alias("reason"))), f"{at}/{name}.ndjson")
+    keep, exclude = load_filter_overrides(spark, f"{at}/keep.ndjson", f"{at}/exclude.ndjson")
+    missing = load_filter_overrides(spark, f"{at}/none.ndjson", f"{at}/none.ndjson")[0]
+    return keep.select(F.lit("keep").alias("list"), "*").union(exclude.select(F.lit("exclude").alias("list"), "*")).union(missing.select(F.lit("none").alias("list"), "*"))
+
+
+@query(
+    "SELECT 'manual' AS list, 'aur:' || n_name AS key_a, 'arch:' || n_nationkey AS key_b FROM nation"
+    " UNION ALL SELECT DISTINCT 'deny', least('aur:' || n_name, 'arch:' || n_nationkey) || '|' || greatest('aur:' || n_name, 'arch:' || n_nationkey), NULL FROM nation"
+)
+def match_override_files(spark, d):
+    at = f"{shared_dir(spark)}/larkspur/overrides-{uuid4().hex}"
+    a = F.struct(F.lit("aur").alias("source"), F.col("n_name").alias("appId"))
+    b = F.struct(F.lit("arch").alias("source"), F.col("n_nationkey").cast("string").alias("appId"))
+    nation = A.table(spark, d, "nation")
+    write_ndjson(nation.select(a.alias("a"), b.alias("b"), F.lit("r").alias("reason")), f"{at}/manual.ndjson")
+    write_ndjson(nation.select(a.alias("a"), b.alias("b")).union(nation.select(b.alias("a"), a.alias("b"))), f"{at}/deny.ndjson")
+    manual, deny = load_match_overrides(spark, f"{at}/manual.ndjson", f"{at}/deny.ndjson")
+    return manual.select(F.lit("manual").alias("list"), "key_a", "key_b").union(deny.select(F.lit("deny"), "pair", F.lit(None).cast("string")))
+
+
+@query("SELECT o_orderkey % 8 AS file, row_number() OVER (PARTITION BY o_orderkey % 8 ORDER BY o_orderkey) AS nth, 'order-' || o_orderkey AS name FROM orders")
+def read_order_of_files(spark, d):
+    """Rows of several files, in the files' order and each file's own."""
+    at, orders = f"{shared_dir(spark)}/larkspur/orders-{uuid4().hex}", A.table(spark, d, "orders")
+    name = F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("name")
+    for k in range(8):
+        part = orders.where(F.col("o_orderkey") % 8 == k).orderBy("o_orderkey").select(name).coalesce(1)
+        part.write.json(f"{at}/part={k:02d}")
+        move(spark, f"{at}/part={k:02d}", f"{at}/{k:02d}.json")
+    found = read_ordered(spark, at, "name string")
+    file = F.shiftright("line", PLACE_BITS).alias("file")
+    return found.select(file, F.row_number().over(Window.partitionBy(file).orderBy("line")).cast("long").alias("nth"), "name")
+
+
+@query(f"{CURATED} SELECT 'totalApps' AS key, CAST(count(*) AS VARCHAR) AS value FROM apps UNION ALL SELECT 'generatedAt', 'now' UNION ALL SELECT 'kept', 'yes'")
 def meta_upsert(spark, d):
     apps = E.enrich(M.labelled(A.docs(spark, d)), False)
     old = spark.createDataFrame([("totalApps", "0"), ("kept", "yes")], "key string, value string")
     return store.upsert_meta(old, store.meta_rows(spark, "now", apps))
 
 
-@query(f"{CATALOG} SELECT label, id, name FROM apps ORDER BY label LIMIT 100")
+@query(f"{CURATED} SELECT label, id, name FROM apps ORDER BY label LIMIT 100")
 def sample_prefix(spark, d):
     return store.sample(E.enrich(M.labelled(A.docs(spark, d)), False), 100).select("label", "id", "name")
 
 
-@query(f"{CATALOG} SELECT id, name, short_description FROM (SELECT id, name, shortDescription AS short_description FROM apps)")
+@query(f"{CURATED} SELECT {ROWS} FROM apps")
 def publish_swap(spark, d):
-    store.publish(E.enrich(M.labelled(A.docs(spark, d))), "now", "larkspur_apps", "larkspur_meta")
-    return spark.table("larkspur_apps").select("id", "name", "short_description")
+    apps = E.enrich(M.labelled(A.docs(spark, d)))
+    store.publish(apps, "now", "larkspur_apps", "larkspur_meta")
+    return spark.table("larkspur_apps")

@@ -1,4 +1,4 @@
-"""Relations of the catalog: packages, the eight sources' cache rows, groups, apps and the published tables."""
+"""Relations: packages, the eight sources' cache rows, groups, apps and the published tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 SOURCES = ("flathub", "snapcraft", "appimage", "aur", "debian", "ubuntu", "fedora", "arch")
 PREFERRED = ("flathub", "snapcraft", "appimage")
 UNKNOWN_VERSION = "unknown"
+RANK_BITS = 48  # an ordinal is the source's rank, then the row's place in its cache
 
 PACKAGE = "ordinal long, source string, name string, description string, version string, appId string, channel string, iconFilename string, homepage string, arch string, lastUpdated string"
 #: The order of a package's fields in JSON.
@@ -37,6 +38,8 @@ APPS = (
     ("reviews_json", "string", "reviews"), ("features_json", "string", "features"), ("permissions_json", "string", "permissions"), ("editorial_tags_json", "string", "editorialTags"), ("packages_json", "string", "packages"),
 )
 META = "key string, value string"
+#: An app as the dataset file has it.
+APP = f"id string, name string, shortDescription string, homepage string, n_packages long, packages array<struct<{', '.join(f'{f}: string' for f in PACKAGE_FIELDS)}>>"
 
 
 def struct(ddl: str) -> T.StructType:

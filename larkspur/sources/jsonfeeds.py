@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import filled, last_segment
 from ..operators.dedup import keep_last
 from ..schema import UNKNOWN_VERSION, struct
+from .ndjson import numbered
 
 SNAP = "name string, revision struct<channel: string, version: string>, snap struct<title: string, summary: string, media: array<struct<type: string, url: string>>, links: struct<website: array<string>>>"
 ITEM = "name string, description string, links array<struct<type: string, url: string>>, icons array<string>"
@@ -60,7 +61,7 @@ def map_aur(packages: DataFrame) -> DataFrame:
 
 def read_aur(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(struct(AUR)).option("multiLine", True).json(path)
-    return map_aur(rows.withColumn("line", F.monotonically_increasing_id()))
+    return map_aur(numbered(rows))
 
 
 def _nested(ddl: str) -> str:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import re
 from datetime import UTC, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import pair_key, ref_key
-from ..schema import FILTER_OVERRIDE, MATCH_OVERRIDE, METADATA, struct
+from ..schema import FILTER_OVERRIDE, MATCH_OVERRIDE, METADATA, RANK_BITS, struct
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -25,12 +26,25 @@ def read_ndjson(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(struct(schema)).option("mode", "FAILFAST").json(path)
 
 
+PLACE_BITS = 36  # of a row's place in its file; the file's rank among those read is above
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows of files with `line`, which grows from file to file by name and along each: where its block starts, then its place in the block, with gaps."""
+    files = sorted(unquote(f).rpartition("/")[2] for f in rows.inputFiles())
+    if len(files) > 1 << (RANK_BITS - PLACE_BITS):
+        raise ValueError(f"{len(files)} files of one source are too many to keep their order")
+    ranks = rows.sparkSession.createDataFrame(list(enumerate(dict.fromkeys(files))), "_rank long, _file string")
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = rows.select("*", F.col("_metadata.file_name").alias("_file"), place.alias("_place"))
+    return placed.join(F.broadcast(ranks), "_file", "left").withColumn("line", F.shiftleft(F.coalesce("_rank", F.lit(0).cast("long")), PLACE_BITS) + F.col("_place")).drop("_file", "_place", "_rank")  # one row a file
+
+
 def read_ordered(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The same with `line`, which grows along each file: where its block starts, then its place in the block, with gaps."""
+    """The same with `line`, which gives the rows' order over all of the files."""
     if not exists(spark, path):
         return read_ndjson(spark, path, schema).withColumn("line", F.lit(0).cast("long"))
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return read_ndjson(spark, path, schema).withColumn("line", F.col("_metadata.file_block_start") + place)
+    return numbered(read_ndjson(spark, path, schema))
 
 
 def write_ndjson(df: DataFrame, path: str, order: str | None = None) -> None:
@@ -39,6 +53,16 @@ def write_ndjson(df: DataFrame, path: str, order: str | None = None) -> None:
     out.write.mode("overwrite").json(path)
 
 
+def move(spark: SparkSession, folder: str, path: str) -> None:
+    """The single part file of a written folder to a path of its own."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    at = Path(folder)
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in system.listStatus(at) if f.getPath().getName().startswith("part-"))
+    system.rename(part, Path(path))
+    system.delete(at, True)
+
+
 def metadata_path(path: str) -> str:
     return re.sub(r"\.ndjson\Z", ".meta.json", path)
 

@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import last_segment
-from ..schema import CACHE, PACKAGE_FIELDS, SOURCES, UNKNOWN_VERSION
+from ..schema import CACHE, PACKAGE_FIELDS, RANK_BITS, SOURCES, UNKNOWN_VERSION
 from .ndjson import read_ordered
 
-RANK_BITS = 48  # an ordinal is the source's rank, then the row's place in its cache
-
 
 def _package(rows: DataFrame, source: str, **fields: Column | str) -> DataFrame:
     def column(name: str) -> Column:

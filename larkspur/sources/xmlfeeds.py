@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import empty_to_null, filled
 from ..schema import UNKNOWN_VERSION, struct
+from .ndjson import numbered
 
 #: Component types that are applications.
 APP_TYPES = ("desktop-application", "desktop", "console-application")
@@ -51,7 +52,7 @@ def parse_components(texts: DataFrame, column: str) -> DataFrame:
 
 def read_appstream(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.format("xml").option("rowTag", "component").schema(struct(COMPONENT)).load(path)
-    return map_components(rows.withColumn("line", F.monotonically_increasing_id()))
+    return map_components(numbered(rows))
 
 
 def primary_location(repomd: Column | str) -> Column:
@@ -74,4 +75,4 @@ def parse_primary(texts: DataFrame, column: str) -> DataFrame:
 
 def read_primary(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.format("xml").option("rowTag", "package").schema(struct(PRIMARY)).load(path)
-    return map_primary(rows.withColumn("line", F.monotonically_increasing_id()))
+    return map_primary(numbered(rows))

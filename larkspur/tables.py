@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; a temporary one only where none is set and all run on this machine (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         at = known.get() if known.isDefined() else None
+    if not at and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not at:
         at = tempfile.mkdtemp(prefix="larkspur-")
         atexit.register(shutil.rmtree, at, ignore_errors=True)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from larkspur.operators import enrich, matching
 from larkspur.operators.components import components
 from larkspur.operators.filtering import filter_packages
-from larkspur.plans.catalog import Overrides, build_catalog
+from larkspur.plans.curation import Overrides, build_apps
 from larkspur.schema import PACKAGE, struct
 
 
@@ -105,10 +105,10 @@ def test_filter_order(spark):
 
 def test_enrich(spark):
     p = packages(spark, [("aur", "Tool", "t1", "aur text", "https://a"), ("flathub", "Tool", "t2", "", None), ("appimage", "tool", "t3", "image text", "https://c")])
-    row = build_catalog(p).first()
+    row = build_apps(p).first()
     assert (row["id"], row["name"], row["shortDescription"], row["homepage"], [x["source"] for x in row["packages"]]) == ("aur:t1", "Tool", "image text", None, ["aur", "flathub", "appimage"])
     assert enrich.enrich(matching.labelled(packages(spark, [("aur", "x", None, "")]))).first()["shortDescription"] == ""
 
 
 def test_empty(spark):
-    assert build_catalog(packages(spark, []), Overrides()).count() == 0
+    assert build_apps(packages(spark, []), Overrides()).count() == 0

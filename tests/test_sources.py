@@ -1,4 +1,4 @@
-"""Raw files of all eight sources through caches to a catalog."""
+"""Raw files of all eight sources through caches to apps."""
 
 import gzip
 import io
@@ -7,10 +7,13 @@ import os
 import tarfile
 
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from larkspur.plans import cli
 from larkspur.schema import CACHE, SOURCES
-from larkspur.sources import ndjson
+from larkspur.sinks import store
+from larkspur.sources import ndjson, xmlfeeds
 from larkspur.sources.landing import SNAP_CATEGORIES, refresh
 from larkspur.sources.normalize import search_all
 from larkspur.streaming.landing import refresh_available
@@ -69,10 +72,21 @@ def test_refresh_and_build(spark, landing, tmp_path):
     ]
     out = str(tmp_path / "out")
     assert cli.main(["build", "--caches", caches, "--overrides", str(tmp_path / "none"), "--out", out], spark) == 0
-    apps = {r["id"]: r for r in spark.read.json(f"{out}/dataset.ndjson").collect()}
+    text = "".join(r["value"] for p in sorted(x for x in os.listdir(f"{out}/dataset.json") if x.startswith("part-")) for r in spark.read.text(f"{out}/dataset.json/{p}").collect())
+    whole = json.loads(text)
+    assert whole["generatedAt"] == ndjson.read_metadata(spark, f"{out}/dataset.ndjson")["fetchedAt"] and [a["id"] for a in whole["apps"]][:2] == ["flathub:org.pad", "flathub:org.bare"]
+    apps = {a["id"]: a for a in whole["apps"]}
+    stamp, back = cli.read_dataset(spark, f"{out}/dataset.json")
+    assert stamp == whole["generatedAt"] and back.columns == ["id", "name", "shortDescription", "homepage", "n_packages", "packages"] and back.count() == len(apps)
     assert "debian:libx1" not in apps and [p["source"] for p in apps["flathub:org.pad"]["packages"]] == ["flathub", "aur", "debian"]
     assert cli.main(["seed", "--caches", caches, "--out", out], spark) == 0
     assert {r["key"]: r["value"] for r in spark.table("meta").collect()}["totalApps"] == str(len(apps)) == str(spark.table("apps").count())
+    published = {r["id"]: r for r in spark.table("apps").collect()}
+    assert list(json.loads(published["flathub:org.pad"]["packages_json"])[0])[:4] == ["source", "name", "description", "version"]  # the fields' order
+    put(str(tmp_path / "env"), "# tables\nPUBLISH_TABLE=other_apps\nPUBLISH_META=other_meta\n")
+    build = ["--caches", caches, "--overrides", str(tmp_path / "none"), "--out", str(tmp_path / "out2"), "--settings", str(tmp_path / "env")]
+    assert cli.main(["build", *build], spark) == 0 and spark.table("other_apps").count() == len(apps) and spark.table("other_meta").count() == 2
+    assert cli.main(["seed", "--remote", *build], spark) == 0 and cli.main(["seed", "--remote", "--settings", str(tmp_path / "no"), "--out", out], spark) == 1
     assert cli.main(["sample", "--caches", caches, "--overrides", str(tmp_path / "none"), "--out", out], spark) == 0
 
 
@@ -94,6 +108,48 @@ def test_overrides(spark, tmp_path):
     assert manual.first()[:] == ("x:1", "y:2") and deny.first()[:] == ("x:1|y:2",)
 
 
+def test_failed_publish_leaves_all(spark, monkeypatch):
+    """A failure while tables change names, or in the rows, leaves apps and their metadata as they were."""
+    rows = lambda name: spark.createDataFrame([(1, "a:1", name, "", None, [("aur", "x")])], "label long, id string, name string, shortDescription string, homepage string, packages array<struct<source string, name string>>")
+    store.publish(rows("old"), "first", "p_apps", "p_meta")
+    state = lambda: (spark.table("p_apps").select("name").collect(), sorted(spark.table("p_meta").collect()))
+    before = state()
+    real = store.has_table
+    monkeypatch.setattr(store, "has_table", lambda s, t: real(s, t) if t != "p_meta" else (_ for _ in ()).throw(RuntimeError("store is gone")) if real(s, "p_meta_next") else True)
+    with pytest.raises(RuntimeError, match="gone"):
+        store.publish(rows("new"), "second", "p_apps", "p_meta")
+    monkeypatch.undo()
+    assert state() == before
+    for bad in (rows("x").withColumn("name", F.lit(None).cast("string")), rows("x").union(rows("y"))):
+        with pytest.raises(ValueError, match="null in name|not unique"):
+            store.publish(bad, "third", "p_apps", "p_meta")
+        assert state() == before
+    store.publish(rows("new"), "fourth", "p_apps", "p_meta")
+    assert state()[0][0]["name"] == "new" and {r["key"]: r["value"] for r in spark.table("p_meta").collect()} == {"generatedAt": "fourth", "totalApps": "1"}
+
+
+def test_refresh_usage(spark, capsys):
+    assert cli.main(["refresh"], spark) == 1 and cli.main(["refresh", "nix"], spark) == 1
+    assert "usage" in capsys.readouterr().err
+
+
+def test_zstd_and_icons(spark, tmp_path):
+    xml = '<metadata><package type="rpm"><name>zed</name><version ver="1"/></package></metadata>'
+    put(str(tmp_path / "p.xml.zst"), zstandard.ZstdCompressor().compress(xml.encode()))
+    assert xmlfeeds.read_primary(spark, str(tmp_path / "p.xml.zst")).first()["name"] == "zed"
+    icons = lambda *i: "".join(f'<icon{a}>{t}</icon>' for a, t in i)
+    texts = [icons((' type="remote"', "r"), (' type="stock"', "s")), icons(("", "bare"), (' type="remote"', "r")), ""]
+    rows = spark.createDataFrame([(i, f'<component type="desktop"><id>i{i}</id><name>n</name>{t}</component>') for i, t in enumerate(texts)], "key int, xml string")
+    assert [r["iconFilename"] for r in xmlfeeds.parse_components(rows, "xml").orderBy("key").collect()] == ["s", "bare", None]
+
+
+def test_order_of_files(spark, tmp_path):
+    for k in range(8):
+        put(str(tmp_path / f"x.ndjson/{k}.json"), "".join(f'{{"name":"{k:02d}-{i:05d}"}}\n' for i in range(2000)))
+    rows = ndjson.read_ordered(spark, str(tmp_path / "x.ndjson"), CACHE["aur"]).select("line", "name").orderBy("line").collect()
+    assert len({r["line"] for r in rows}) == 16_000 and [r["name"] for r in rows] == sorted(r["name"] for r in rows)
+
+
 def test_unknown_source(spark):
     with pytest.raises(ValueError, match="unknown source"):
         refresh(spark, "nix", "a", "b")
