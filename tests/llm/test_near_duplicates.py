@@ -255,3 +255,18 @@ def test_op3_query(spark, tmp_path):
 def test_fingerprints_without_ids(spark):
     df = spark.createDataFrame([(None, "x y z"), (None, "x y z"), (5, "p q r s")], "doc_id long, text string")
     assert sorted(str((r["doc_id"], r["component_id"])) for r in simhash.near_duplicates(df).collect()) == ["(5, 5)", "(None, None)", "(None, None)"]
+
+
+def test_short_lines_lose_no_pair(spark):
+    """Pairs of lines of fewer than SHORT words, with as many edits as are allowed and wherever they are, are all linked."""
+    rng, rows = random.Random(11), []
+    for k in range(400):
+        words = [f"k{k}n{i}" for i in range(rng.randint(5, 19))]
+        other = words[:]
+        for _ in range(len(words) // 5):
+            at, kind = rng.randrange(len(other)), rng.choice("sid")
+            other[at : at + 1] = {"s": [f"q{rng.random()}"], "i": [f"q{rng.random()}", other[at]], "d": []}[kind]
+        rows += [" ".join(words), " ".join(other)]
+    near = [k for k in range(0, len(rows), 2) if (n := max(len(a := rows[k].split(" ")), len(b := rows[k + 1].split(" ")))) < linededup.SHORT and min(len(a), len(b)) >= 5 and distance(a, b) <= n // 5]
+    group = first_lines(linededup.line_groups(frame(spark, rows), whole=True))
+    assert len(near) > 250 and not [rows[k : k + 2] for k in near if group[k, 0] != group[k + 1, 0]]
