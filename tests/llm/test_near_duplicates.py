@@ -7,6 +7,7 @@ from math import ceil, floor, log2
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+import corpus_pipeline
 from larkspur.llm import linededup, simhash
 
 WORDS = [f"w{i}x" for i in range(300)]
@@ -257,8 +258,8 @@ def test_fingerprints_without_ids(spark):
     assert sorted(str((r["doc_id"], r["component_id"])) for r in simhash.near_duplicates(df).collect()) == ["(5, 5)", "(None, None)", "(None, None)"]
 
 
-def test_short_lines_lose_no_pair(spark):
-    """Pairs of lines of fewer than SHORT words, with as many edits as are allowed and wherever they are, are all linked."""
+def short_pairs():
+    """Lines of few words, by twos, and the numbers of those that are similar: with as many edits as are allowed and wherever they are."""
     rng, rows = random.Random(11), []
     for k in range(400):
         words = [f"k{k}n{i}" for i in range(rng.randint(5, 19))]
@@ -268,5 +269,18 @@ def test_short_lines_lose_no_pair(spark):
             other[at : at + 1] = {"s": [f"q{rng.random()}"], "i": [f"q{rng.random()}", other[at]], "d": []}[kind]
         rows += [" ".join(words), " ".join(other)]
     near = [k for k in range(0, len(rows), 2) if (n := max(len(a := rows[k].split(" ")), len(b := rows[k + 1].split(" ")))) < linededup.SHORT and min(len(a), len(b)) >= 5 and distance(a, b) <= n // 5]
+    return rows, near
+
+
+def test_short_lines_lose_no_pair(spark):
+    """Pairs of lines of fewer than SHORT words are all linked."""
+    rows, near = short_pairs()
     group = first_lines(linededup.line_groups(frame(spark, rows), whole=True))
     assert len(near) > 250 and not [rows[k : k + 2] for k in near if group[k, 0] != group[k + 1, 0]]
+
+
+def test_pipeline_loses_no_short_pair(spark):
+    """Of each such pair the pipeline keeps the first line only."""
+    rows, near = short_pairs()
+    kept = {r["doc_id"] for r in corpus_pipeline.lines_once(spark, frame(spark, rows), "").collect()}
+    assert len(near) > 250 and not kept & {k + 1 for k in near} and {k for k in near} <= kept
