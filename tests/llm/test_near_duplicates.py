@@ -284,3 +284,17 @@ def test_pipeline_loses_no_short_pair(spark):
     rows, near = short_pairs()
     kept = {r["doc_id"] for r in corpus_pipeline.lines_once(spark, frame(spark, rows), "").collect()}
     assert len(near) > 250 and not kept & {k + 1 for k in near} and {k for k in near} <= kept
+
+
+def test_blocks_of_one_line_stay_out_of_the_join(spark, monkeypatch):
+    """What is joined with a block's first line are the blocks of several lines, however few bits tell them; a full filter changes nothing else."""
+    rng = random.Random(12)
+    rows = [" ".join(f"r{i}w{k}" for k in range(rng.randint(5, 40))) for i in range(150)]
+    rows += [f"{x} more" for x in rows[:10]]
+    seen, join = [], linededup.join_counted
+    monkeypatch.setattr(linededup, "join_counted", lambda left, right, key, *a: (key == "key" and seen.append(left.count()), join(left, right, key, *a))[1])
+    want = brute_lines(spark, list(enumerate(rows)), blocks=False)
+    assert first_lines(linededup.line_groups(frame(spark, rows), whole=True)) == want and len(set(want.values())) == 150
+    monkeypatch.setattr(linededup, "FILTER_WORDS", 1)
+    assert first_lines(linededup.line_groups(frame(spark, rows), whole=True)) == want
+    assert seen[0] < 0.3 * seen[1]
