@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import filled
 from ..schema import PACKAGE_FIELDS, PREFERRED
+from ..tables import written
+from .joins import SHARE
 
 
 def priority(source: Column | str = "source") -> Column:
@@ -34,7 +36,29 @@ def enrich(labelled: DataFrame, packages: bool = True) -> DataFrame:
 
     id is the first member's key, name and homepage the representative's; its homepage is not borrowed from another member.
     """
-    rep = pick(F.struct("name", "homepage"))
     members = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", *PACKAGE_FIELDS))), lambda x: F.struct(*(x[f].alias(f) for f in PACKAGE_FIELDS)))
-    out = labelled.groupBy("label").agg(F.min_by("key", "ordinal").alias("id"), rep.alias("rep"), pick_description().alias("shortDescription"), F.count("*").alias("n_packages"), *([members.alias("packages")] if packages else []))
-    return out.select("label", "id", "rep.name", "shortDescription", "rep.homepage", "n_packages", *(["packages"] if packages else []))
+    return _grouped(labelled, *([members.alias("packages")] if packages else []))
+
+
+def enrich_texts(labelled: DataFrame) -> DataFrame:
+    """enrich() with packages as JSON text, for groups whose text takes a good part of an executor's memory.
+
+    Each member is a text before the aggregate, so that a group's list is joined once, with no list of rows beside it. Groups of more than
+    one in SHARE rows, fewer than SHARE, are gathered apart: among many groups an aggregate turns to sorting, which holds them once
+    more. A last shuffle hands rows on, so that whoever writes them holds only the row.
+    """
+    rows = written(labelled.select("label", "key", "ordinal", *PACKAGE_FIELDS), "labelled")
+    large = rows.groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") > rows.agg(F.count("*") / SHARE).scalar()).select("label")
+    large = F.broadcast(written(large, "large-groups"))
+    n = F.count("*").cast("int")
+    texts = F.sort_array(F.collect_list(F.struct("ordinal", F.col("text").alias("text"))))["text"]  # no transform, which would copy each text
+    ends = F.concat(F.lit("["), F.get(texts, F.lit(0))), F.concat(F.get(texts, n - 1), F.lit("]"))
+    text = F.when(n == 1, F.concat(ends[0], F.lit("]"))).otherwise(F.concat_ws(",", ends[0], F.slice(texts, F.lit(2), F.greatest(n - 2, F.lit(0))), ends[1]))
+    found = (_grouped(rows.join(large, "label", how).withColumn("text", F.to_json(F.struct(*PACKAGE_FIELDS))), text.alias("packages")) for how in ("left_anti", "left_semi"))
+    return next(found).union(next(found)).repartition("id")
+
+
+def _grouped(labelled: DataFrame, *more: Column) -> DataFrame:
+    rep = pick(F.struct("name", "homepage"))
+    out = labelled.groupBy("label").agg(F.min_by("key", "ordinal").alias("id"), rep.alias("rep"), pick_description().alias("shortDescription"), F.count("*").alias("n_packages"), *more)
+    return out.select("label", "id", "rep.name", "shortDescription", "rep.homepage", "n_packages", *(["packages"] if more else []))

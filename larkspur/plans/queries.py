@@ -19,7 +19,6 @@ from ..sources import archdesc, deb822, jsonfeeds, xmlfeeds
 from ..sources.ndjson import PLACE_BITS, load_filter_overrides, load_match_overrides, move, read_metadata, read_ndjson, read_ordered, write_metadata, write_ndjson
 from ..tables import shared_dir
 from . import adapters as A
-from .curation import build_apps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,7 +173,7 @@ KEPT = CURATED.replace("pkgs_docs AS (SELECT", "all_docs AS (SELECT", 1).replace
 
 @query(f"{KEPT} SELECT label, id, name, shortDescription, nullif(home, '-') AS homepage, n_packages, packages FROM apps")
 def enrich_apps(spark, d):
-    return build_apps(A.docs(spark, d)).withColumn("packages", F.to_json("packages"))
+    return E.enrich_texts(M.labelled(filter_packages(A.docs(spark, d))))
 
 
 @query("SELECT p_partkey, n_nationkey, CAST(levenshtein(lower(p_name), lower(n_name)) AS INT) AS distance FROM part JOIN nation ON p_partkey % 25 = n_nationkey")
@@ -325,7 +324,7 @@ ROWS = ", ".join(f"{FILLED.get(n, 'NULL')}::{TYPES[k]} AS {n}" for n, k, _ in AP
 
 @query(f"{CURATED} SELECT {ROWS} FROM apps")
 def apps_table_rows(spark, d):
-    return store.to_rows(E.enrich(M.labelled(A.docs(spark, d))))
+    return store.to_rows(E.enrich_texts(M.labelled(A.docs(spark, d))))
 
 
 def _nullable(test: str, value: str) -> str:
@@ -415,6 +414,6 @@ def sample_prefix(spark, d):
 
 @query(f"{CURATED} SELECT {ROWS} FROM apps")
 def publish_swap(spark, d):
-    apps = E.enrich(M.labelled(A.docs(spark, d)))
+    apps = E.enrich_texts(M.labelled(A.docs(spark, d)))
     store.publish(apps, "now", "larkspur_apps", "larkspur_meta")
     return spark.table("larkspur_apps")

@@ -24,13 +24,14 @@ def json_column(x: Column) -> Column:
 
 
 def to_rows(apps: DataFrame) -> DataFrame:
-    """Apps to the columns of APPS, in order. Fields that the apps do not have are null."""
+    """Apps to the columns of APPS, in order. Fields that the apps do not have are null; what is text already counts as JSON."""
+    texts = {c for c, kind in apps.dtypes if kind == "string"}
 
     def column(name: str, kind: str, path: str) -> Column:
         if path.split(".")[0] not in apps.columns:
             return F.lit(None).cast(kind).alias(name)
         x = F.col(path)
-        return (json_column(x) if name.endswith("_json") else bool_column(x) if kind == "int" else x.cast(kind)).alias(name)
+        return (json_column(x) if name.endswith("_json") and path not in texts else bool_column(x) if kind == "int" else x.cast(kind)).alias(name)
 
     return apps.select(*(column(*c) for c in APPS))
 

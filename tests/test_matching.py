@@ -2,14 +2,17 @@
 
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from larkspur.operators import enrich, matching
 from larkspur.operators.components import components
 from larkspur.operators.filtering import filter_packages
 from larkspur.plans.curation import Overrides, build_apps
 from larkspur.schema import PACKAGE, struct
+from larkspur.sinks import store
 
 
 def packages(spark, rows):
@@ -112,3 +115,15 @@ def test_enrich(spark):
 
 def test_empty(spark):
     assert build_apps(packages(spark, []), Overrides()).count() == 0
+
+
+@pytest.mark.parametrize("share", [1, 1000])
+def test_enrich_texts(spark, monkeypatch, share):
+    """The same apps as enrich(), members as JSON text: of groups of one, two and many, gathered apart or with the others."""
+    rows = [("aur", f"t{i}", f"tool {max(0, i - 4) if i < 6 else 9}", f'text "{i}"\n' if i % 2 else None) for i in range(40)]
+    monkeypatch.setattr(enrich, "SHARE", share)
+    p = matching.labelled(packages(spark, rows)).withColumn("homepage", F.when(F.col("ordinal") % 3 == 0, "https://x"))
+    want = enrich.enrich(p).withColumn("packages", F.to_json("packages"))
+    found = enrich.enrich_texts(p)
+    assert found.columns == want.columns and sorted(found.collect()) == sorted(want.collect()) and len({r["n_packages"] for r in want.collect()}) > 2
+    assert store.to_rows(found).select("packages_json").where("packages_json like '[{%}]'").count() == want.count()
